@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseworks.functions.clean import as_column
@@ -40,8 +40,14 @@ def ngrams(words: Column, n: int) -> Column:
     return runs
 
 
-def terms(text: Column | str, ngram_range: tuple[int, int] = (1, 2), stop_words: Sequence[str] = ()) -> Column:
-    """All n-grams of the text; stop words leave before n-grams are formed."""
-    words = without_words(tokens(text), stop_words)
-    grams = [ngrams(words, n) for n in range(ngram_range[0], ngram_range[1] + 1)]
-    return F.concat(*grams) if len(grams) > 1 else grams[0]
+def with_terms(
+    df: DataFrame, text: str, out: str, ngram_range: tuple[int, int] = (1, 2), stop_words: Sequence[str] = ()
+) -> DataFrame:
+    """Add all n-grams of the text; stop words leave before n-grams are formed.
+
+    Words become a column of their own first, so the text is tokenised once however many
+    n-gram sizes refer to it.
+    """
+    worded = df.withColumn("_words", without_words(tokens(text), stop_words))
+    grams = [ngrams(F.col("_words"), n) for n in range(ngram_range[0], ngram_range[1] + 1)]
+    return worded.withColumn(out, F.concat(*grams) if len(grams) > 1 else grams[0]).drop("_words")

@@ -23,8 +23,12 @@ def l2_norm(v: Column | str) -> Column:
 
 def l2_normalize(v: Column | str) -> Column:
     """Unit vector; the zero vector stays zero."""
-    norm = l2_norm(v)
-    return F.transform(as_column(v), lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(0.0))
+    scale = F.transform(F.array(l2_norm(v)), lambda n: F.struct(n.alias("n"), as_column(v).alias("v")))
+    # The norm is bound once as a lambda variable instead of being recomputed per element.
+    unit = F.transform(
+        scale, lambda s: F.transform(s["v"], lambda x: F.when(s["n"] > 0, x.cast("double") / s["n"]).otherwise(0.0))
+    )
+    return unit[0]
 
 
 def cosine_distance(a: Column | str, b: Column | str) -> Column:

@@ -1,0 +1,5 @@
+"""Registered queries: name -> (Spark query, equivalent SQL or None)."""
+
+from caseworks.queries import analytics
+
+REGISTRY = {**analytics.QUERIES}
