@@ -1,5 +1,5 @@
 """Registered queries: name -> (Spark query, equivalent SQL or None)."""
 
-from caseworks.queries import analytics
+from caseworks.queries import analytics, records
 
-REGISTRY = {**analytics.QUERIES}
+REGISTRY = {**analytics.QUERIES, **records.QUERIES}
