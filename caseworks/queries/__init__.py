@@ -1,5 +1,5 @@
 """Registered queries: name -> (Spark query, equivalent SQL or None)."""
 
-from caseworks.queries import analytics, records
+from caseworks.queries import analytics, records, texts
 
-REGISTRY = {**analytics.QUERIES, **records.QUERIES}
+REGISTRY = {**analytics.QUERIES, **records.QUERIES, **texts.QUERIES}
