@@ -6,7 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import HashingTF, VectorAssembler
+from pyspark.ml.feature import HashingTF, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,8 +111,11 @@ def hash_value(df: DataFrame, col: str, n_features: int = CATEGORY_BUCKETS, sign
     value = sign if signed else F.lit(1.0)
     zero, b = F.lit(0.0), F.col("_b")
     slots = F.concat(F.array_repeat(zero, b), F.array("_s"), F.array_repeat(zero, F.lit(n_features - 1) - b))
+    out = out or f"{col}_hash"
     staged = df.withColumn("_b", bucket).withColumn("_s", value)
-    return staged.withColumn(out or f"{col}_hash", array_to_vector(slots)).drop("_b", "_s")
+    vectors = staged.withColumn(out, array_to_vector(slots)).drop("_b", "_s")
+    # The width is known, so the assembler need not look at a first row.
+    return VectorSizeHint(inputCol=out, size=n_features, handleInvalid="optimistic").transform(vectors)
 
 
 def numeric_block(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
