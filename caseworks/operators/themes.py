@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -19,6 +21,7 @@ from caseworks.functions.text import STOP_WORDS
 from caseworks.functions.vectors import cosine_distance
 from caseworks.operators.tfidf import TfidfModel, tfidf_per_group
 from caseworks.plans.bounded import bounded_rows, lookup_join
+from caseworks.session import checkpoint_folder
 
 MAX_CENTROIDS = 10_000
 
@@ -41,13 +44,18 @@ def _as_array(df: DataFrame, col: str) -> Column:
 def kmeans_themes(
     df: DataFrame, id_col: str, features: str, k: int = 12, seed: int = 42, max_iter: int = 20, out: str = "theme",
 ) -> DataFrame:
-    """Hard k-means assignment of every row; (id, theme)."""
+    """Hard k-means assignment of every row; (id, theme).
+
+    Features may be costly (an embedding call), so they are computed once: the fit and the
+    assignment share a cache, and the narrow result is checkpointed before it is dropped.
+    """
+    checkpoint_folder(df.sparkSession)
     points = df.select(id_col, _as_vector(df, features).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol=out).fit(points)
+        return model.transform(points).select(id_col, out).checkpoint()
     finally:
         points.unpersist()
-    return model.transform(df.select(id_col, _as_vector(df, features).alias("_v"))).select(id_col, out)
 
 
 def hierarchical_themes(
@@ -55,32 +63,37 @@ def hierarchical_themes(
 ) -> DataFrame:
     """Two levels: (id, theme_top, theme_sub_local, theme_sub_id).
 
-    A top theme of n rows is split into min(sub_k, max(1, n // min_sub)) parts.
+    A top theme of n rows is split into min(sub_k, max(1, n // min_sub)) parts. The fits of
+    the second level are independent distributed jobs and run side by side.
     """
+    spark = df.sparkSession
+    checkpoint_folder(spark)
     points = df.select(id_col, _as_vector(df, features).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(data: DataFrame, k: int):
+        return KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(data)
+
     try:
-        fit = lambda data, k: KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(data)
-        top_model = fit(points, top_k)
-        assigned = top_model.transform(points).withColumnRenamed("_c", "theme_top")
+        assigned = fit(points, top_k).transform(points).withColumnRenamed("_c", "theme_top")
         sizes = {r["theme_top"]: r["count"] for r in assigned.groupBy("theme_top").count().collect()}
-        models = {}
-        for top, n in sorted(sizes.items()):
-            parts = min(sub_k, max(1, n // min_sub))
-            if parts > 1:
-                models[top] = fit(assigned.filter(F.col("theme_top") == top).select("_v"), parts)
+        parts = {top: min(sub_k, max(1, n // min_sub)) for top, n in sorted(sizes.items())}
+        split = [top for top, n in parts.items() if n > 1]
+
+        def fit_sub(top: int):
+            return fit(assigned.filter(F.col("theme_top") == top).select("_v"), parts[top])
+
+        with ThreadPoolExecutor(max(len(split), 1)) as pool:
+            models = dict(zip(split, pool.map(inheritable_thread_target(spark)(fit_sub), split)))
+        # One pass: every row goes through all (at most top_k) small models and keeps its own theme's answer.
+        merged, local = assigned, F.lit(0)
+        for top, model in models.items():
+            merged = model.setPredictionCol(f"_c{top}").transform(merged)
+            local = F.when(F.col("theme_top") == top, F.col(f"_c{top}")).otherwise(local)
+        sub_id = F.concat_ws(".", F.col("theme_top").cast("string"), F.col("theme_sub_local").cast("string"))
+        themed = merged.withColumn("theme_sub_local", local)
+        return themed.select(id_col, "theme_top", "theme_sub_local", sub_id.alias("theme_sub_id")).checkpoint()
     finally:
         points.unpersist()
-    # One scan: every row passes through all (at most top_k) small models, then keeps its own theme's answer.
-    merged = top_model.transform(df.select(id_col, _as_vector(df, features).alias("_v"))).withColumnRenamed(
-        "_c", "theme_top"
-    )
-    local = F.lit(0)
-    for top, model in models.items():
-        merged = model.setPredictionCol(f"_c{top}").transform(merged)
-        local = F.when(F.col("theme_top") == top, F.col(f"_c{top}")).otherwise(local)
-    merged = merged.withColumn("theme_sub_local", local)
-    sub_id = F.concat_ws(".", F.col("theme_top").cast("string"), F.col("theme_sub_local").cast("string"))
-    return merged.select(id_col, "theme_top", "theme_sub_local", sub_id.alias("theme_sub_id"))
 
 
 def sub_theme_counts(themes: DataFrame) -> DataFrame:
@@ -184,7 +197,9 @@ def theme_labels(
     min_df: int = 2, max_features: int = 2_000, stop_words: Sequence[str] = STOP_WORDS,
 ) -> DataFrame:
     """(theme, label, tickets): keywords of the representatives of each theme, largest theme first."""
-    best = representatives(df, id_col, cluster, vec, reps, keep=[text])
+    checkpoint_folder(df.sparkSession)
+    # A few rows per theme, read several times below.
+    best = representatives(df, id_col, cluster, vec, reps, keep=[text]).checkpoint()
     weights = tfidf_per_group(best, "theme", id_col, text, (1, 2), min_df, max_features, stop_words)
     per_theme = best.groupBy("theme").agg(F.count(F.lit(1)).alias("_docs"))
     means = (

@@ -47,7 +47,7 @@ DOCLABELS_SQL = "dl AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOI
 def document_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that have an embedding, with its cluster as theme."""
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", F.col("label").alias("theme"))
-    return table(spark, sf, "documents", spread=True).select("doc_id", "text", "source").join(vectors, "doc_id")
+    return table(spark, sf, "documents").select("doc_id", "text", "source").join(vectors, "doc_id")
 
 
 def split_sql(source: str, id_col: str, quota: str, columns: str = "") -> str:
