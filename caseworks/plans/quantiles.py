@@ -52,7 +52,10 @@ def _bracketed(df, groups, value, quantiles, extra, accuracy):
     if not groups:
         df = df.withColumn("_all", F.lit(0))
     values = df.filter(F.col(value).isNotNull())
-    slack = 2.0 / accuracy
+    # A sketched rank is off by at most n/accuracy; four times that also covers interpolation
+    # between neighbours once n >= accuracy. Smaller groups are bracketed by their whole range.
+    slack = 4.0 / accuracy
+    sketched = F.col("_n") >= accuracy
     names, probs = list(quantiles), [float(p) for p in quantiles.values()]
     lows = F.array(*[F.lit(max(p - slack, 0.0)) for p in probs])
     highs = F.array(*[F.lit(min(p + slack, 1.0)) for p in probs])
@@ -68,8 +71,8 @@ def _bracketed(df, groups, value, quantiles, extra, accuracy):
             F.struct(
                 F.lit(i).alias("q"),
                 (F.lit(p) * (F.col("_n") - 1)).alias("pos"),
-                (F.col("_min") if p - slack <= 0 else F.col("_lo")[i]).alias("lo"),
-                (F.col("_max") if p + slack >= 1 else F.col("_hi")[i]).alias("hi"),
+                (F.col("_min") if p <= slack else F.when(sketched, F.col("_lo")[i]).otherwise(F.col("_min"))).alias("lo"),
+                (F.col("_max") if p + slack >= 1 else F.when(sketched, F.col("_hi")[i]).otherwise(F.col("_max"))).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]
@@ -94,12 +97,13 @@ def _bracketed(df, groups, value, quantiles, extra, accuracy):
     ranked = inside.withColumn("_end", F.sum("_c").over(by_value)).withColumn(
         "_start", F.col("_end") - F.col("_c")
     )
-    at = lambda rank: (F.col("_start") <= rank) & (rank < F.col("_end"))
     lower, upper = F.floor("_pos"), F.ceil("_pos")
-    picked = ranked.groupBy(*anchor, "_q", "_pos").agg(
-        F.max(F.when(at(lower), F.col("_v"))).alias("_a"),
-        F.max(F.when(at(upper), F.col("_v"))).alias("_b"),
-    )
+
+    def value_at(rank: Column) -> Column:
+        found = F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v")))
+        return F.coalesce(found, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+
+    picked = ranked.groupBy(*anchor, "_q", "_pos").agg(value_at(lower).alias("_a"), value_at(upper).alias("_b"))
     exact = picked.withColumn("_x", F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_pos") - lower))
     wide = exact.groupBy(*anchor).agg(
         *[F.max(F.when(F.col("_q") == i, F.col("_x"))).alias(name) for i, name in enumerate(names)]
