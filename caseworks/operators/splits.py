@@ -17,7 +17,7 @@ from caseworks.functions.clean import valid_target
 from caseworks.plans.bounded import bounded_rows, local_table
 from caseworks.plans.selection import hash_key, mark_smallest
 
-MAX_DIRECT_SAMPLE = 100_000
+MAX_DIRECT_SAMPLE = 100
 GROUPS = ["target", "label"]
 
 
@@ -66,7 +66,11 @@ def prep_manifest_json(prepared: DataFrame, out: str = "") -> DataFrame:
 
 
 def sample_exact(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Uniform sample of ``min(n, rows)`` rows without replacement."""
+    """Uniform sample of ``min(n, rows)`` rows without replacement.
+
+    A sort with limit would gather n rows of every partition in one task, so only very small
+    samples use it.
+    """
     if n <= MAX_DIRECT_SAMPLE:
         return df.orderBy(hash_key(id_col, seed), id_col).limit(n)
     marked = mark_smallest(df, [], id_col, seed, lambda rows: F.least(rows, F.lit(n)))

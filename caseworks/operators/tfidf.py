@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from caseworks.functions.text import STOP_WORDS, with_terms
+from caseworks.plans.topk import contenders
 
 MAX_VOCABULARY = 262_144
 
@@ -74,7 +75,8 @@ def fit_tfidf(
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features may be at most {MAX_VOCABULARY}")
     stats = term_statistics(df, text, ngram_range, stop_words)
-    kept = stats.filter(F.col("df") >= min_df).orderBy(F.desc("tf"), "term").limit(max_features)
+    kept = contenders(stats.filter(F.col("df") >= min_df), "tf", max_features)
+    kept = kept.orderBy(F.desc("tf"), "term").limit(max_features)
     n = df.count()
     idf = F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0
     rows = sorted(kept.select("term", idf.alias("idf")).collect())

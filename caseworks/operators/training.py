@@ -197,12 +197,15 @@ def train_all_targets(
 ) -> tuple[dict[str, Classifier], list[tuple[str, str, float | None, str | None]]]:
     """One classifier per target, trained concurrently on one cached feature table.
 
-    ``split`` is (id, features…, target, label, split). A failing target is reported and
-    does not stop the others; returns the classifiers and (target, status, accuracy, error) rows.
+    ``split`` is (id, features…, target, label, split), or holds the ``features`` vector
+    already, computed once per row before the targets were spread out. A failing target is
+    reported and does not stop the others; returns the classifiers and (target, status,
+    accuracy, error) rows.
     """
     spark = split.sparkSession
     plain = Classifier("", None, [], routing, variant)
-    table = plain.features(split).select(id_col, "target", "label", "split", "features")
+    ready = split if "features" in split.columns else plain.features(split)
+    table = ready.select(id_col, "target", "label", "split", "features")
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(target: str):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from caseworks.functions.text import STOP_WORDS
 from caseworks.operators import contacts, durations, incidents, sentiment, themes
 from caseworks.operators.tfidf import fit_tfidf
+from caseworks.session import checkpoint_folder
 
 
 def case_report(
@@ -17,15 +18,17 @@ def case_report(
 ) -> dict[str, DataFrame]:
     """TF-IDF themes of all cases (no sampling) and the reports by theme, each a lazy DataFrame.
 
-    ``cases`` is read several times: pass a stored table rather than a long computation.
+    The narrow case table with themes is stored once in the checkpoint folder and serves all
+    reports; texts are never shuffled.
     """
+    checkpoint_folder(cases.sparkSession)
     model = fit_tfidf(cases, text, min_df=min_df, max_features=max_features, stop_words=stop_words)
     vectors = model.transform(cases.select(id_col, text), text).drop(text)
     assigned = themes.kmeans_themes(vectors, id_col, "features", k=k)
-    themed = cases.join(assigned, id_col)
+    themed = cases.select(id_col, contact, opened, hours).join(assigned, id_col).checkpoint()
     keywords = themes.theme_keywords(vectors.join(assigned, id_col), "theme", model)
-    scored = sentiment.lexicon_sentiment(themed, id_col, text, lexicon, keep=["theme"])
-    history = contacts.repeat_contacts(themed.select(id_col, contact, opened, "theme"), contact, opened, id_col)
+    scored = sentiment.lexicon_sentiment(cases, id_col, text, lexicon).join(assigned, id_col)
+    history = contacts.repeat_contacts(themed, contact, opened, id_col)
     labels = keywords.withColumnRenamed("keywords", "label")
     return {
         "themes": assigned,

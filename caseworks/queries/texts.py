@@ -8,6 +8,7 @@ from caseworks.functions.text import STOP_WORDS
 from caseworks.functions.vectors import cosine_distance, l2_norm, l2_normalize
 from caseworks.operators import embedding, sentiment, themes
 from caseworks.operators.tfidf import fit_tfidf, tfidf
+from caseworks.plans.bounded import lookup_join
 from caseworks.queries.common import document_vectors, r6, table
 from caseworks.queries.records import STRIP, WORDS
 
@@ -188,7 +189,7 @@ def cosine_pairs(spark, sf):
     """Distance of every vector to the centre of its own cluster."""
     rows = _vectors(spark, sf)
     centres = themes.centroids(rows, "label", "embedding").withColumnRenamed("theme", "label")
-    joined = rows.join(F.broadcast(centres), "label")
+    joined = lookup_join(rows, centres, ["label"], ["vec_id"], "inner")
     return joined.select("vec_id", r6(cosine_distance("embedding", "centre")).alias("distance"))
 
 

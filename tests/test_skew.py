@@ -14,6 +14,7 @@ from caseworks.plans.bounded import bounded_rows, hot_keys, local_table, lookup_
 from caseworks.plans.quantiles import exact_quantiles
 from caseworks.plans.ranks import sorted_codes
 from caseworks.plans.selection import hash_key, mark_smallest
+from caseworks.plans.topk import contenders
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +126,14 @@ def test_two_level_labels(spark):
     labels = spark.createDataFrame([(0, 0, "billing")], "theme_top int, theme_sub_local int, label string")
     got = attach_labels(df, labels, ["theme_top", "theme_sub_local"], ["id"], out="sub_label").orderBy("id").collect()
     assert [r["sub_label"] for r in got] == ["billing", "Theme 0.1"]
+
+
+@pytest.mark.parametrize("k", [1, 5, 50, 10_000])
+def test_contenders_hold_the_top(skewed, k):
+    fine = skewed.select((F.col("id") % 700).alias("g"), "k")
+    coarse = skewed.select(F.lit(-1).cast("long").alias("g"), "k")
+    counts = fine.unionByName(coarse).groupBy("g", "k").agg(F.count(F.lit(1)).alias("n"))
+    left = contenders(counts, "n", k)
+    order = [F.desc("n"), "k", "g"]
+    assert left.orderBy(*order).limit(k).collect() == counts.orderBy(*order).limit(k).collect()
+    assert k > 1 or left.count() == 1
