@@ -17,6 +17,7 @@ LABEL_CHARS = 1200
 SENTIMENT_BYTES = 4900
 
 CASE_DATE_FORMAT = "M/d/yyyy, h:mm a"
+EPOCH = "1970-01-01 00:00:00"
 
 
 def as_column(c: Column | str) -> Column:
@@ -41,14 +42,30 @@ def compose_text(subject: Column | str, description: Column | str) -> Column:
     )
 
 
+def _span_micros(start: Column, end: Column) -> Column:
+    # timestampdiff() goes through the session time zone; subtracting wall clocks does not.
+    span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    return (span.cast("interval second").cast("decimal(20,6)") * F.lit(1_000_000)).cast("bigint")
+
+
+def wall_micros(c: Column | str) -> Column:
+    """Microseconds of a wall-clock time since 1970, whatever the session time zone."""
+    return _span_micros(F.lit(EPOCH), as_column(c))
+
+
+def wall_clock(micros: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz"))
+
+
 def to_ts(c: Column | str, formats: Sequence[str] = (CASE_DATE_FORMAT, "yyyy-MM-dd HH:mm:ss")) -> Column:
-    """First format that parses, else NULL."""
-    tries = [F.try_to_timestamp(as_column(c), F.lit(f)) for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    """First format that parses, else NULL. Times are wall clock: no hour is lost to daylight saving."""
+    text = F.concat(as_column(c), F.lit(" Z"))
+    instant = F.coalesce(*[F.try_to_timestamp(text, F.lit(f"{f} X")) for f in formats])
+    return wall_clock(F.unix_micros(instant))
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", as_column(start), as_column(end)) / F.lit(3.6e9)
+    return _span_micros(as_column(start), as_column(end)) / F.lit(3.6e9)
 
 
 def to_number(c: Column | str, default: float | None = 0.0) -> Column:

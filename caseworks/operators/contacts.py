@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from caseworks.functions.clean import hours_between
+from caseworks.functions.clean import hours_between, wall_micros
 from caseworks.plans.bounded import hot_keys
 
 HOT_ROWS = 5_000_000
@@ -42,7 +42,7 @@ def _sliced(rows: DataFrame, key: str, ts: str, id_col: str) -> DataFrame:
     smallest id looks back to the moment before, the others look back to the first.
     """
     moments = rows.groupBy(key, ts).agg(F.min(id_col).alias("_first"))
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    micros = wall_micros(ts)
     edges = moments.groupBy(key).agg(
         F.percentile_approx(micros, F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)]), 10 * SLICES).alias("_e")
     )

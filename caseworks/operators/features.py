@@ -200,3 +200,23 @@ def featurize_words(df: DataFrame, routing: FeatureRouting, n_features: int = 20
         staged = hash_text(staged, c, n_features, out=f"{c}_words")
         blocks.append(f"{c}_words")
     return assemble(staged, blocks, out).drop(*blocks)
+
+
+def fit_encoders(train: DataFrame, routing: FeatureRouting, unseen: str = "zero") -> dict[str, DataFrame]:
+    """Code table per categorical column, fitted on ``train``."""
+    return {c: category_codes(train, c, unseen) for c in routing.categorical}
+
+
+def featurize_encoded(
+    df: DataFrame, routing: FeatureRouting, encoders: dict[str, DataFrame], spread_by: Sequence[str],
+    order: Sequence[str] | None = None, n_features: int = 2000, unseen: str = "zero", out: str = "features",
+) -> DataFrame:
+    """Encoded variant: numbers, category codes and hashed bags of words, blocks in ``order`` of their columns."""
+    staged = numeric_block(df, routing.numeric, suffix="_block")
+    for c in routing.categorical:
+        staged = encode_category(staged, encoders[c], c, spread_by, unseen, out=f"{c}_block")
+    for c in routing.text:
+        staged = hash_text(staged, c, n_features, out=f"{c}_block")
+    order = list(order or [*routing.numeric, *routing.categorical, *routing.text])
+    blocks = [f"{c}_block" for c in order]
+    return assemble(staged, blocks, out).drop(*blocks)

@@ -97,10 +97,13 @@ def incident_attribution(
     base_first, base_last = first - timedelta(days=days), first - timedelta(days=1)
     t = F.col(ts).cast("timestamp_ntz")
 
+    def moment(when: datetime):
+        return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
     def within(lo: datetime, hi: datetime):
         if whole_days:
-            return (t >= F.lit(lo)) & (t < F.lit(hi + timedelta(days=1)))
-        return (t >= F.lit(lo)) & (t <= F.lit(hi))
+            return (t >= moment(lo)) & (t < moment(hi + timedelta(days=1)))
+        return (t >= moment(lo)) & (t <= moment(hi))
 
     incident, baseline = within(first, last), within(base_first, base_last)
     if df.filter(incident).select(F.lit(1)).isEmpty():

@@ -54,6 +54,17 @@ def prep_manifest(prepared: DataFrame, out: str = "") -> DataFrame:
     ).withColumn("output_path", F.concat(F.lit(out), F.lit("/target="), "target"))
 
 
+def target_metadata(split: DataFrame, num_features: int) -> DataFrame:
+    """Per target: rows, features, classes, and rows on either side of the split."""
+    return split.groupBy(F.col("target").alias("target_column")).agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.lit(num_features).alias("num_features"),
+        F.countDistinct("label").alias("unique_classes"),
+        F.count_if(F.col("split") == "train").alias("train_samples"),
+        F.count_if(F.col("split") == "validation").alias("val_samples"),
+    )
+
+
 def prep_manifest_json(prepared: DataFrame, out: str = "") -> DataFrame:
     """The manifest as one JSON document: total rows and an entry per target."""
     entries = prep_manifest(prepared, out)

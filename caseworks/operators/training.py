@@ -23,7 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from caseworks.operators.features import FeatureRouting, featurize, featurize_words, label_map
+from caseworks.operators.features import (
+    FeatureRouting,
+    featurize,
+    featurize_encoded,
+    featurize_words,
+    fit_encoders,
+    label_map,
+)
 from caseworks.plans.bounded import bounded_rows, lookup_join
 
 MAX_CLASSES = 100_000
@@ -45,9 +52,15 @@ class Classifier:
     routing: FeatureRouting
     variant: str = "values"
     facts: dict = field(default_factory=dict)
+    encoders: dict[str, DataFrame] = field(default_factory=dict)
 
     def features(self, df: DataFrame) -> DataFrame:
-        return featurize_words(df, self.routing) if self.variant == "words" else featurize(df, self.routing)
+        """Feature vector by variant: whole values hashed, words hashed, or categories encoded."""
+        if self.variant == "words":
+            return featurize_words(df, self.routing)
+        if self.variant == "encoded":
+            return featurize_encoded(df, self.routing, self.encoders, df.columns[:1])
+        return featurize(df, self.routing)
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Folder with ``model``, ``features`` and ``labels``."""
@@ -62,6 +75,8 @@ class Classifier:
             }
         )
         spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/features")
+        for column, codes in self.encoders.items():
+            codes.write.mode("overwrite").parquet(f"{path}/encoders/{column}")
         rows = list(enumerate(self.labels))
         spark.createDataFrame(rows, "index int, label string").coalesce(1).write.mode("overwrite").parquet(f"{path}/labels")
 
@@ -71,7 +86,9 @@ class Classifier:
         labels = [r["label"] for r in bounded_rows(spark.read.parquet(f"{path}/labels").orderBy("index"), MAX_CLASSES)]
         model = LOADERS[meta["class"]].load(f"{path}/model")
         routing = FeatureRouting(**meta["routing"])
-        return Classifier(meta["target"], model, labels, routing, meta["variant"], meta["facts"])
+        encoded = routing.categorical if meta["variant"] == "encoded" else []
+        encoders = {c: spark.read.parquet(f"{path}/encoders/{c}") for c in encoded}
+        return Classifier(meta["target"], model, labels, routing, meta["variant"], meta["facts"], encoders)
 
 
 def train_linear(train: DataFrame, reg: float = 1e-4, max_iter: int = 20, one_vs_rest: bool = True, parallelism: int = 4) -> Model:
@@ -169,7 +186,7 @@ def labelled(df: DataFrame, labels: DataFrame, spread_by: Sequence[str]) -> Data
 
 def fit_target(
     split: DataFrame, id_col: str, target: str, routing: FeatureRouting, trainer: Callable[[DataFrame, DataFrame], Model],
-    variant: str = "values", fit_labels_on: str = "train",
+    variant: str = "values", fit_labels_on: str = "train", encoders: dict[str, DataFrame] | None = None,
 ) -> Classifier:
     """One target of a featurized split table: label map, fit, validation accuracy.
 
@@ -183,7 +200,7 @@ def fit_target(
     train_xy, val_xy = labelled(train, coded, [id_col]), labelled(val, coded, [id_col])
     model = trainer(train_xy, val_xy)
     facts = {"accuracy": holdout_accuracy(model, val_xy), "num_class": len(names)}
-    return Classifier(target, model, names, routing, variant, facts)
+    return Classifier(target, model, names, routing, variant, facts, encoders or {})
 
 
 def df_from_labels(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -193,7 +210,7 @@ def df_from_labels(spark: SparkSession, names: list[str]) -> DataFrame:
 def train_all_targets(
     split: DataFrame, id_col: str, targets: Sequence[str], routing: FeatureRouting,
     trainer: Callable[[DataFrame, DataFrame], Model], variant: str = "values", parallel: int = 4,
-    fit_labels_on: str = "train",
+    fit_labels_on: str = "train", encoders: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, Classifier], list[tuple[str, str, float | None, str | None]]]:
     """One classifier per target, trained concurrently on one cached feature table.
 
@@ -203,7 +220,9 @@ def train_all_targets(
     accuracy, error) rows.
     """
     spark = split.sparkSession
-    plain = Classifier("", None, [], routing, variant)
+    if variant == "encoded" and encoders is None:
+        encoders = fit_encoders(split.filter(F.col("split") == "train"), routing)
+    plain = Classifier("", None, [], routing, variant, encoders=encoders or {})
     ready = split if "features" in split.columns else plain.features(split)
     table = ready.select(id_col, "target", "label", "split", "features")
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
@@ -211,7 +230,7 @@ def train_all_targets(
     def one(target: str):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"target-{target}")
         try:
-            return fit_target(table, id_col, target, routing, trainer, variant, fit_labels_on), None
+            return fit_target(table, id_col, target, routing, trainer, variant, fit_labels_on, encoders), None
         except Exception as exc:
             return None, str(exc).splitlines()[0][:300]
 

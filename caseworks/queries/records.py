@@ -150,9 +150,29 @@ def prep_manifest(spark, sf):
     return splits.prep_manifest(prepare_per_target(spark, sf), "prepared")
 
 
+def target_metadata(spark, sf):
+    split = splits.split_support_aware(_parts(spark, sf), "p_partkey", PART_FEATURES, ["p_type"])
+    return splits.target_metadata(split, len(PART_FEATURES))
+
+
+def split_global_require(spark, sf):
+    found = splits.split_global(_parts(spark, sf), "p_partkey", [], ["p_type"], stratify="require", spelled_out=False)
+    return found.select("p_partkey", "target", "label", "split")
+
+
 # Features
 
 
+def featurize_encoded(spark, sf):
+    """Encoded variant in the order category, text, number: non-zero entries outside the hashed words."""
+    parts = _parts(spark, sf).select("p_partkey", "p_brand", F.col("p_name").alias("p_desc"), "p_size")
+    routing = features.route_features(parts.schema, ["p_brand", "p_desc", "p_size"], "B")
+    codes = features.fit_encoders(parts, routing)
+    joint = features.featurize_encoded(parts, routing, codes, ["p_partkey"], ["p_brand", "p_desc", "p_size"], 64)
+    entries = joint.select("p_partkey", F.inline(vector_entries("features"))).filter("w <> 0 and (idx < 1 or idx > 64)")
+    return entries.select("p_partkey", F.col("idx").cast("int").alias("idx"), F.col("w").alias("value"))
+
+
 def label_map(spark, sf):
     return features.label_map(_parts(spark, sf).select(F.col("p_brand").alias("label")))
 
@@ -346,6 +366,19 @@ SELECT target, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(t) AS BIGINT) AS train,
         f"WITH {DOCLABELS_SQL}, p AS ({LABELS_LONG}) SELECT target, count(*) AS rows, count(DISTINCT label) AS unique_labels, "
         "'prepared/target=' || target AS output_path FROM p GROUP BY target",
     ),
+    "target_metadata": (
+        target_metadata,
+        f"""WITH {split_sql("SELECT p_partkey, 'p_type' AS target, p_type AS label FROM part", 'p_partkey', SUPPORT_QUOTA)}
+SELECT target AS target_column, count(*) AS num_rows, 3 AS num_features, count(DISTINCT label) AS unique_classes,
+       count(*) FILTER (split = 'train') AS train_samples, count(*) FILTER (split = 'validation') AS val_samples FROM s GROUP BY 1""",
+    ),
+    "split_global_require": (split_global_require, f"SELECT * FROM ({_GLOBAL}) WHERE target = 'p_type'"),
+    "featurize_encoded": (
+        featurize_encoded,
+        """WITH k AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS code FROM (SELECT DISTINCT p_brand FROM part))
+SELECT p_partkey, 0 AS idx, CAST(code AS DOUBLE) AS value FROM part JOIN k USING (p_brand) WHERE code <> 0
+UNION ALL SELECT p_partkey, 65, CAST(p_size AS DOUBLE) FROM part WHERE p_size <> 0""",
+    ),
     "label_map": (
         label_map,
         'SELECT label, row_number() OVER (ORDER BY label) - 1 AS "index" FROM (SELECT DISTINCT p_brand AS label FROM part)',

@@ -13,20 +13,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from caseworks.functions.clean import wall_clock, wall_micros
 from caseworks.operators.scoring import captured, score
 from caseworks.operators.training import Classifier
 
 
 def stream_daily_volume(stream: DataFrame, ts: str, theme: str, lateness: str = "1 hour") -> DataFrame:
     """Rows per (day, theme); a day is emitted once the watermark has passed its end."""
-    timed = stream.select(F.col(ts).cast("timestamp").alias("_t"), F.col(theme).alias("theme"))
+    # Event time must be an instant: the wall clock is read as UTC, and so are the windows.
+    timed = stream.select(F.timestamp_micros(wall_micros(ts)).alias("_t"), F.col(theme).alias("theme"))
     counted = (
         timed.filter(F.col("theme").isNotNull())
         .withWatermark("_t", lateness)
         .groupBy(F.window("_t", "1 day").alias("_w"), "theme")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    return counted.select(F.to_date("_w.start").alias("day"), "theme", "count")
+    day = F.to_date(wall_clock(F.unix_micros("_w.start")))
+    return counted.select(day.alias("day"), "theme", "count")
 
 
 def stream_repeat(stream: DataFrame, key: str, ts: str, id_col: str, days: float = 7) -> DataFrame:
@@ -50,19 +53,19 @@ def stream_repeat(stream: DataFrame, key: str, ts: str, id_col: str, days: float
             {
                 key: k[0],
                 id_col: rows[id_col].to_numpy(),
-                ts: rows[ts].to_numpy(),
+                "_us": rows["_us"].to_numpy(),
                 "hours_since_prev": hours.to_numpy(dtype=float, na_value=float("nan")),
                 "is_repeat": (hours <= days * 24).fillna(False).to_numpy(dtype=bool),
             }
         )
 
     rows = stream.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
-        key, id_col, F.col(ts).cast("timestamp").alias(ts), F.unix_micros(F.col(ts).cast("timestamp")).alias("_us")
+        key, id_col, wall_micros(ts).alias("_us")
     )
-    out = f"{key} {kinds[key]}, {id_col} {kinds[id_col]}, {ts} timestamp, hours_since_prev double, is_repeat boolean"
+    out = f"{key} {kinds[key]}, {id_col} {kinds[id_col]}, _us long, hours_since_prev double, is_repeat boolean"
     done = rows.groupBy(key).applyInPandasWithState(follow, out, "last long", "append", GroupStateTimeout.NoTimeout)
     hours = F.when(~F.isnan("hours_since_prev"), F.col("hours_since_prev"))
-    return done.withColumn("hours_since_prev", hours)
+    return done.select(key, id_col, wall_clock(F.col("_us")).alias(ts), hours.alias("hours_since_prev"), "is_repeat")
 
 
 def stream_score(

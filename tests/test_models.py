@@ -143,6 +143,21 @@ def test_train_evaluate_register(spark, lines, tmp_path):
     assert clf.facts["accuracy"] == version["accuracy"] == models["dept"].facts["accuracy"]
 
 
+def test_encoded_variant_survives_saving(spark, lines, tmp_path):
+    split = splits.split_support_aware(lines, "id", COLUMNS, ["account"])
+    routing = route_features(lines.schema, COLUMNS, "B")
+    models, _ = training.train_all_targets(
+        split, "id", ["account"], routing, lambda a, b: training.train_trees(a, rounds=2, depth=2), variant="encoded"
+    )
+    clf = models["account"]
+    assert clf.facts == {"accuracy": 1.0, "num_class": 2}
+    clf.save(spark, str(tmp_path / "m"))
+    again = training.Classifier.load(spark, str(tmp_path / "m"))
+    new = lines.withColumn("vendor", F.lit("never seen"))
+    a, b = (scoring.score(new, c).orderBy("id").collect() for c in (clf, again))
+    assert a == b
+
+
 def test_metrics_document(spark):
     df = spark.createDataFrame([("t", 0.5)], "target string, accuracy double")
     assert metrics_json(df).first()["document"] == '{"multiclass_classification_metrics":{"accuracy":{"value":0.5}}}'

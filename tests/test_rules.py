@@ -130,6 +130,20 @@ def test_dates(spark):
     ]
 
 
+def test_wall_clock_in_a_zone_with_daylight_saving(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("3/9/2025, 2:30 AM", 1), ("3/9/2025, 4:30 AM", 2)], "s string, id int")
+        parsed = df.select("id", F.lit("k").alias("k"), clean.to_ts("s").alias("ts"))
+        assert values(parsed, "ts") == [(T(2025, 3, 9, 2, 30),), (T(2025, 3, 9, 4, 30),)]
+        assert contacts.repeat_contacts(parsed, "k", "ts", "id").filter("id = 2").first()["hours_since_prev"] == 2.0
+        window = incidents.incident_attribution(parsed, "ts", "k", "2025-03-09", "2025-03-10").first()
+        assert (window["incident"], window["baseline"]) == (2, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_numbers(spark):
     df = spark.createDataFrame([(" 12 ",), ("x",), ("",), (None,), ("NaN",), ("1e3",)], "s string")
     assert values(df.select(clean.to_number("s").alias("n")), "n") == [(12.0,), (0.0,), (0.0,), (0.0,), (0.0,), (1000.0,)]
