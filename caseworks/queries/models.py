@@ -68,15 +68,39 @@ def _linear(train, val):
     return training.train_linear(train, max_iter=5, one_vs_rest=False)
 
 
-def _part_models(spark, sf):
-    parts = table(spark, sf, "part").select("p_partkey", *PART_FEATURES, "p_type")
-    split = splits.split_support_aware(parts, "p_partkey", PART_FEATURES, ["p_type", "p_brand"])
-    routing = route_features(parts.schema, ["p_name", "p_size"], "A")
-    return parts, training.train_all_targets(split, "p_partkey", ["p_type", "p_brand"], routing, _linear, parallel=2)
+CUSTOMER_FEATURES = ["c_mktsegment", "c_acctbal"]
+CUSTOMER_TARGETS = ["desk", "letter"]
+
+
+def _customers(spark, sf):
+    """Customers with two codes that follow from the segment, so a sound model predicts them exactly."""
+    segment = F.col("c_mktsegment")
+    desk = F.when(segment.isin("AUTOMOBILE", "MACHINERY"), "industry").when(segment == "BUILDING", "site").otherwise("home")
+    return table(spark, sf, "customer").select(
+        "c_custkey", "c_nationkey", *CUSTOMER_FEATURES, desk.alias("desk"), F.substring("c_mktsegment", 1, 1).alias("letter")
+    )
+
+
+def _customer_models(spark, sf):
+    rows = _customers(spark, sf)
+    split = splits.split_support_aware(rows, "c_custkey", CUSTOMER_FEATURES, CUSTOMER_TARGETS)
+    routing = route_features(rows.schema, CUSTOMER_FEATURES, "A")
+    trainer = lambda train, val: training.train_linear(train, one_vs_rest=False)
+    return rows, training.train_all_targets(split, "c_custkey", CUSTOMER_TARGETS, routing, trainer, parallel=2)
 
 
 def train_all_targets(spark, sf):
-    _, (_, report) = _part_models(spark, sf)
+    _, (_, report) = _customer_models(spark, sf)
+    return spark.createDataFrame(report, "target string, status string, accuracy double, error string")
+
+
+def train_part_targets(spark, sf):
+    """Targets without relation to the features: what comes back is the report, good or bad."""
+    parts = table(spark, sf, "part").select("p_partkey", *PART_FEATURES, "p_type")
+    split = splits.split_support_aware(parts, "p_partkey", PART_FEATURES, ["p_type", "p_brand"])
+    routing = route_features(parts.schema, ["p_name", "p_size"], "A")
+    trainer = lambda train, val: training.train_linear(train, max_iter=5, one_vs_rest=False)
+    _, report = training.train_all_targets(split, "p_partkey", ["p_type", "p_brand"], routing, trainer, parallel=2)
     return spark.createDataFrame(report, "target string, status string, accuracy double, error string")
 
 
@@ -180,25 +204,34 @@ def check_bundles(spark, sf):
 
 
 def score(spark, sf):
-    parts, (models, _) = _part_models(spark, sf)
-    return scoring.score(parts, models["p_type"]).select("p_partkey", "prediction", "probabilities")
+    rows, (models, _) = _customer_models(spark, sf)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda acc, p: acc + p)
+    scored = scoring.score(rows, models["desk"])
+    return scored.select("c_custkey", "prediction", F.size("probabilities").alias("classes"), r6(total).alias("total"))
 
 
 def score_all_targets(spark, sf):
-    parts, (models, _) = _part_models(spark, sf)
-    return scoring.score_all_targets(parts, models, "p_partkey")
+    rows, (models, _) = _customer_models(spark, sf)
+    found = scoring.score_all_targets(rows, models, "c_custkey")
+    best = F.col("top")[0]
+    return found.select(
+        "c_custkey", "target", "prediction", best["label"].alias("best"), F.size("top").alias("listed"),
+        (best["probability"] == F.col("confidence")).alias("is_best"),
+    )
 
 
 def score_dispatch(spark, sf):
-    """One request per part; the part's brand decides whether it names a known target, an unknown one, or none."""
-    parts, (models, _) = _part_models(spark, sf)
-    target = F.when(F.col("p_brand") == "Brand#1", "p_color").when(F.col("p_brand") != "Brand#2", F.lit("p_type"))
-    body = F.to_json(F.array(F.struct("p_name", "p_size")))
-    requests = parts.select(
-        F.col("p_partkey").alias("request_id"), target.alias("target"),
-        F.when(F.col("p_brand") != "Brand#3", body).alias("instances"),
+    """One request per customer; the nation decides whether its target is known, unknown or absent, or the body broken."""
+    rows, (models, _) = _customer_models(spark, sf)
+    nation = F.col("c_nationkey")
+    target = F.when(nation < 5, "color").when(nation >= 10, F.when(nation < 18, "desk").otherwise("letter"))
+    record = F.struct("c_mktsegment", "c_acctbal")
+    requests = rows.select(
+        F.col("c_custkey").alias("request_id"), target.alias("target"),
+        F.when(nation != 12, F.to_json(F.array(record, record))).alias("instances"),
     )
-    return scoring.score_dispatch(requests, models, "p_name: string, p_size: int")
+    found = scoring.score_dispatch(requests, models, "c_mktsegment: string, c_acctbal: double")
+    return found.select("request_id", "position", "target", "prediction", "error")
 
 
 def format_predictions(spark, sf):
@@ -248,15 +281,19 @@ def stream_repeat(spark, sf):
 
 
 def stream_score(spark, sf):
-    """Parts arrive as a stream, are scored with the current model, and all are captured."""
-    parts, (models, _) = _part_models(spark, sf)
-    stream = spark.readStream.schema(table(spark, sf, "part").schema).parquet(f"{sf}/part.parquet*")
+    """Customers arrive as a stream, are scored with the current model, and all are captured."""
+    _, (models, _) = _customer_models(spark, sf)
+    stream = spark.readStream.schema(table(spark, sf, "customer").schema).parquet(f"{sf}/customer*.parquet")
     base = f"{checkpoint_folder(spark)}/score-{uuid.uuid4().hex}"
-    inputs = stream.select("p_partkey", *PART_FEATURES)
-    jobs.stream_score(inputs, lambda: models["p_type"], "p_partkey", f"{base}/out", f"{base}/state").awaitTermination()
-    return spark.read.schema("p_partkey long, prediction string").json(f"{base}/out").select("p_partkey", "prediction")
+    inputs = stream.select("c_custkey", *CUSTOMER_FEATURES)
+    jobs.stream_score(inputs, lambda: models["desk"], "c_custkey", f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.schema("c_custkey long, prediction string").json(f"{base}/out").select("c_custkey", "prediction")
 
 
+_DESK = "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'industry' WHEN c_mktsegment = 'BUILDING' THEN 'site' ELSE 'home' END"
+_LETTER = "left(c_mktsegment, 1)"
+_UNKNOWN = "'unknown target ''color''; available: desk, letter'"
+_EXPECTED = "'expected a target and a list of instances'"
 PRED_SQL = """
 p AS (
   SELECT o_orderkey, 'o_orderstatus' AS target, o_orderstatus AS label, CASE WHEN o_totalprice < 100000 THEN 'F' ELSE 'O' END AS pred FROM orders
@@ -291,7 +328,11 @@ QUERIES = {
     "train_linear": (train_linear, None),
     "train_trees": (train_trees, None),
     "search_best": (search_best, None),
-    "train_all_targets": (train_all_targets, None),
+    "train_all_targets": (
+        train_all_targets,
+        "SELECT target, 'Completed' AS status, 1.0::DOUBLE AS accuracy, CAST(NULL AS VARCHAR) AS error FROM (VALUES ('desk'), ('letter')) t(target)",
+    ),
+    "train_part_targets": (train_part_targets, None),
     "accuracy": (
         accuracy,
         f"WITH {PRED_SQL} SELECT target, count(*) AS rows, round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM p GROUP BY 1",
@@ -337,9 +378,21 @@ SELECT l_suppkey AS candidate, coalesce(max(v) FILTER (l_returnflag = 'A'), 0.0)
 SELECT target, concat_ws(',', CASE WHEN n = 0 THEN 'features' END, CASE WHEN r = 0 THEN 'labels' END, CASE WHEN a = 0 THEN 'model' END) AS missing,
        a > 0 AND n > 0 AND r > 0 AS complete FROM k""",
     ),
-    "score": (score, None),
-    "score_all_targets": (score_all_targets, None),
-    "score_dispatch": (score_dispatch, None),
+    "score": (score, f"SELECT c_custkey, {_DESK} AS prediction, 3 AS classes, 1.0::DOUBLE AS total FROM customer"),
+    "score_all_targets": (
+        score_all_targets,
+        f"""SELECT c_custkey, 'desk' AS target, {_DESK} AS prediction, {_DESK} AS best, 3 AS listed, true AS is_best FROM customer
+UNION ALL SELECT c_custkey, 'letter', {_LETTER}, {_LETTER}, 3, true FROM customer""",
+    ),
+    "score_dispatch": (
+        score_dispatch,
+        f"""SELECT c_custkey AS request_id, CAST(i AS INTEGER) AS position, CASE WHEN c_nationkey < 18 THEN 'desk' ELSE 'letter' END AS target,
+       CASE WHEN c_nationkey < 18 THEN {_DESK} ELSE {_LETTER} END AS prediction, CAST(NULL AS VARCHAR) AS error
+FROM customer CROSS JOIN (VALUES (0), (1)) p(i) WHERE c_nationkey >= 10 AND c_nationkey <> 12
+UNION ALL SELECT c_custkey, NULL, CASE WHEN c_nationkey < 5 THEN 'color' WHEN c_nationkey = 12 THEN 'desk' END, NULL,
+       CASE WHEN c_nationkey < 5 THEN {_UNKNOWN} ELSE {_EXPECTED} END
+FROM customer WHERE c_nationkey < 10 OR c_nationkey = 12""",
+    ),
     "format_predictions": (
         format_predictions,
         """WITH l AS (SELECT l_orderkey, string_agg(l_returnflag, ',' ORDER BY l_linenumber, l_returnflag) AS csv FROM lineitem GROUP BY 1)
@@ -360,5 +413,5 @@ FROM orders WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGI
 WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
     ),
     "stream_repeat": (stream_repeat, _HOURS),
-    "stream_score": (stream_score, None),
+    "stream_score": (stream_score, f"SELECT c_custkey, {_DESK} AS prediction FROM customer"),
 }
