@@ -35,9 +35,10 @@ def stream_daily_volume(stream: DataFrame, ts: str, theme: str, lateness: str =
 def stream_repeat(stream: DataFrame, key: str, ts: str, id_col: str, days: float = 7) -> DataFrame:
     """(key, id, ts, hours_since_prev, is_repeat) with the time last seen as state per contact.
 
-    Rows of one contact and trigger are ordered together, so bound a trigger (for example with
-    ``maxFilesPerTrigger``) where one contact may be very busy. They are ordered by time, then id; a row older than the state of its
-    contact counts from the latest contact seen and so gets non-positive hours.
+    Rows of one contact and trigger are ordered together by time, then id, so bound a trigger
+    (for example with ``maxFilesPerTrigger``) where one contact may be very busy. A row older
+    than the state of its contact counts from the latest contact seen and so gets
+    non-positive hours.
     """
     kinds = {c: stream.schema[c].dataType.simpleString() for c in (key, id_col)}
 
