@@ -11,7 +11,8 @@ and removed, the other lines stay as they are, blank ones too.
 Two narrow shuffles find the occurrences: windows by hash, with a partial minimum
 before the shuffle, and back to the rows by hash and salt, so that a window in a third of
 all documents is spread over many tasks. Texts are shuffled once, to meet the
-covered places of their document.
+covered places of their document, and always in the same way: that table grows with the
+input, so the join does not wait for it to outgrow a broadcast.
 
 Null texts stay null and empty ones empty; a text whose lines all go becomes
 empty. Rows equal in id and text are one document: they are treated alike, and a
@@ -89,7 +90,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     names = private(docs, "id", "hash")
     (cover,) = private(docs, "covered")
     found = stored(later_windows(docs, id_col, text, size), "covered")
-    found = found.select(F.col("id").alias(names[0]), F.col("hash").alias(names[1]), F.col("covered").alias(cover))
+    found = found.select(F.col("id").alias(names[0]), F.col("hash").alias(names[1]), F.col("covered").alias(cover)).hint("merge")
     full = docs.withColumns(dict(zip(names, row_key(id_col, text, names), strict=True)))
     joined = full.join(found, same_key(full, found, names), "left").select(*[full[f"`{c}`"] for c in full.columns], found[cover])
     shorter = F.when(F.col(cover).isNull(), named(text)).otherwise(without_lines(named(text), F.col(cover), size))
