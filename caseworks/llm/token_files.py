@@ -19,19 +19,29 @@ Other columns of the input are not stored, whatever their names.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseworks.llm.common import named
 
-#: Different words whose ids a worker remembers.
-MEMORY = 200_000
-BATCH_BYTES = 16 << 20
+#: Different spellings whose ids a worker remembers, and twice as many words.
+MEMORY = 250_000
+#: Signs that end a part: of one kind for the tokenizer, and not the apostrophe, which may begin a piece with letters.
+SIGNS = ".,;:!?#$%&*|()[]"
+#: What the tokenizer writes at the end of a piece's last token, and the words of one call to it.
+WORD_END, LINE = "</w>", 2048
+#: Letters before this one are composed, and lower-cased one by one.
+LATIN_END = "\u0250"
+#: Bytes of text encoded together.
+GROUP_BYTES = 2 << 20
 #: Settings of the files: row groups of 32 MB, pages of 256 KB or 2000 rows.
 LAYOUT = {
     "compression": "zstd",
@@ -47,39 +57,87 @@ LAYOUT = {
 }
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(file: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(file)
-
-
 class WordMemory:
     """Ids of words as packed bytes; asks the tokenizer only for words it hasn't met lately.
 
     A text's ids are those of its parts between spaces and line feeds, one after
     the other: the tokenizer's pieces never hold white space, and neither lower
-    casing nor composing of characters reaches across it.
+    casing nor composing of characters reaches across it. A part of letters followed
+    by signs is in turn the letters, then the signs, and letters of the Latin blocks
+    may be lower-cased beforehand, so that one word serves all its spellings.
     """
 
     def __init__(self, tokenizer, limit: int = MEMORY):
-        self.tokenizer, self.limit, self.known = tokenizer, limit, {}
+        self.tokenizer, self.limit = tokenizer, limit
+        self.last = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
+        self.parts: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {"": b""}
+
+    def split(self, part: str) -> tuple[str, str]:
+        """The part's letters in lower case and its trailing signs, or the part as it is."""
+        if part.isalpha() and part.isascii():
+            return part.lower(), ""
+        core = part.rstrip(SIGNS)
+        plain = core.lower()
+        if plain.isalpha() and max(core) < LATIN_END:
+            return plain, part[len(core) :]
+        return part, ""
+
+    def encoded(self, units: list[str]) -> list[bytes]:
+        """Packed ids of units. Units of letters only, or signs only, are one piece each and go to the tokenizer in one line.
+
+        A piece's last token, and no other, ends in the mark of a word's end, which tells
+        the pieces of the line apart.
+        """
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) == len(units):
+            packed, at = ids.tobytes(), (4 * ends).tolist()
+            return [packed[a:b] for a, b in zip([0, *at[:-1]], at, strict=True)]
+        each = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in each]
+
+    def learn(self, fresh: list[str]) -> None:
+        if len(self.units) > 2 * self.limit:
+            self.units = {"": b""}
+        split = [self.split(p) for p in fresh]
+        new = [u for u in dict.fromkeys(x for both in split for x in both) if u and u not in self.units]
+        single = [u for u in new if u.isalpha() or not u.strip(SIGNS)]
+        others = [u for u in new if not (u.isalpha() or not u.strip(SIGNS))]
+        for start in range(0, len(single), LINE):
+            some = single[start : start + LINE]
+            self.units.update(zip(some, self.encoded(some), strict=True))
+        each = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        self.units.update((u, array("I", e.ids).tobytes()) for u, e in zip(others, each, strict=True))
+        units = self.units
+        self.parts.update((p, units[core] + units[signs]) for p, (core, signs) in zip(fresh, split, strict=True))
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of some texts, whose new words are learned together."""
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        fresh = [p for p in set().union(*split) if p not in self.parts]
+        if len(self.parts) + len(fresh) > self.limit:
+            self.parts = {}
+            fresh = list(set().union(*split))
+        self.learn(fresh)
+        known = self.parts.__getitem__
+        return [b"".join(map(known, parts)) for parts in split]
+
 
-    def packed(self, texts: list[str]) -> Iterator[bytes]:
-        import numpy as np
+@lru_cache(maxsize=1)
+def _memory(file: str) -> WordMemory:
+    """One memory for all tasks of a worker."""
+    from tokenizers import Tokenizer
+
+    return WordMemory(Tokenizer.from_file(file))
 
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            fresh = [w for w in dict.fromkeys(parts) if w not in self.known]
-            if fresh:
-                if len(self.known) + len(fresh) > self.limit:
-                    self.known.clear()
-                    fresh = list(dict.fromkeys(parts))
-                for start in range(0, len(fresh), 4096):
-                    some = fresh[start : start + 4096]
-                    for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                        self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, parts))
+
+def groups(texts: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Start and end of runs of texts of about ``most`` bytes, one text at least."""
+    sizes = pc.cumulative_sum(pc.binary_length(texts)).to_numpy() // most
+    cuts = (np.flatnonzero(np.diff(sizes)) + 1).tolist()
+    yield from zip([0, *cuts], [*cuts, len(texts)], strict=True)
 
 
 def write(
@@ -105,34 +163,26 @@ def write(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        memory = WordMemory(_tokenizer(tokenizer_file))
+        memory = _memory(tokenizer_file)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         place = offset = 0
         for batch in batches:
             column = batch.column(2)
-            start, size, found = 0, 0, []
-            texts = (column[row].as_py() for row in range(batch.num_rows))
-            for row, ids in enumerate(memory.packed(texts)):
-                found.append(ids + end)
-                size += len(found[-1])
-                if size >= BATCH_BYTES or row + 1 == batch.num_rows:
-                    n = np.asarray([len(x) // 4 for x in found], dtype="int64")
-                    ends = np.cumsum(n)
-                    values = pa.array(np.frombuffer(b"".join(found), "<u4").view("int32"))
-                    lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype("int32"), values)
-                    columns = [
-                        batch.column(0).slice(start, len(n)),
-                        pa.array(np.arange(place, place + len(n), dtype="int64")),
-                        batch.column(1).slice(start, len(n)),
-                        pa.array(offset + ends - n),
-                        pa.array(n),
-                        lists,
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-                    place, offset = place + len(n), offset + int(ends[-1])
-                    start, size, found = row + 1, 0, []
+            for start, stop in groups(column):
+                found = [ids + end for ids in memory.packed(column.slice(start, stop - start).to_pylist())]
+                n = np.asarray([len(x) // 4 for x in found], dtype="int64")
+                ends = np.cumsum(n)
+                values = pa.array(np.frombuffer(b"".join(found), "<u4").view("int32"))
+                columns = [
+                    batch.column(0).slice(start, len(n)),
+                    pa.array(np.arange(place, place + len(n), dtype="int64")),
+                    batch.column(1).slice(start, len(n)),
+                    pa.array(offset + ends - n),
+                    pa.array(n),
+                    pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype("int32"), values),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                place, offset = place + len(n), offset + int(ends[-1])
 
     ordered.mapInArrow(run, schema).write.options(**LAYOUT).parquet(f"{path}/tokens")
     files = (
@@ -162,8 +212,6 @@ def checksums(store: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        import numpy as np
-
         for batch in batches:
             lists = batch.column(batch.schema.names.index("ids"))
             values = memoryview(lists.values.to_numpy(zero_copy_only=True).astype("<u4", copy=False)).cast("B")
