@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from caseworks.llm.common import with_field
+from caseworks.llm.common import map_batches, with_field
 
 LONG = 1 << 16
 GAP_LIMIT = 4096
@@ -108,7 +108,7 @@ def encode(
                     start, size, found = row + 1, 0, []
 
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
-    return docs.mapInArrow(run, with_field(docs.schema, ids, kind))
+    return map_batches(docs, run, with_field(docs.schema, ids, kind))
 
 
 def decode(docs: DataFrame, rank_file: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -130,4 +130,4 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids: str = "ids", out:
                     yield _replaced(batch, out, pa.array(found, pa.binary()), start, row + 1)
                     start, size, found = row + 1, 0, []
 
-    return docs.mapInArrow(run, with_field(docs.schema, out, T.BinaryType()))
+    return map_batches(docs, run, with_field(docs.schema, out, T.BinaryType()))

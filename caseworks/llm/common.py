@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,3 +90,15 @@ def spread_lookup(rows: DataFrame, table: DataFrame, key: str, by: str, salts: i
     salted = rows.withColumn(salt, F.pmod(F.xxhash64(named(by)), F.lit(salts)).cast("int"))
     present = salted.select(key, salt).distinct()
     return salted.join(present.join(table, key), [key, salt], "left").drop(salt)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for columns of any name, dots and all: they travel under plain names."""
+    names = df.columns
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(plain.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, plain).toDF(*schema.names)

@@ -6,7 +6,7 @@ model is an intercept plus one lookup table per feature plus small tables for th
 pairs that explain most of what is left. Tables are learned by cyclic boosting:
 round after round, feature by feature, a tree of at most three leaves is fitted to
 the gradients collected in the bins and added with a small rate; pairs follow with
-trees of one cut along either feature. Scoring looks up bins and adds.
+trees of one cut along either feature, both chosen together. Scoring looks up bins and adds.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE``, a few
 thousand rows of numbers on the driver), chosen by a hash of the id; features and
@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseworks.llm.common import named, private, with_field
+from caseworks.llm.common import map_batches, named, private, with_field
 from caseworks.llm.sampling import labelled_sample
 
 SAMPLE = 10_000
 THRESHOLD = 0.7
-BINS, PAIR_BINS, PAIRS = 48, 8, 6
+BINS, PAIR_BINS, PAIRS = 48, 16, 6
 ROUNDS, PAIR_ROUNDS, RATE = 150, 60, 0.1
 #: Least weight of a leaf, and its ridge.
 LEAF, RIDGE = 4.0, 1.0
@@ -87,7 +87,7 @@ def features(docs: DataFrame, text: str = "text", out: str = "features") -> Data
             columns = [batch.column(names.index(n)) for n in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.list_(pa.float64()))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 @dataclass
@@ -156,14 +156,21 @@ def _tree(g: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _pair_tree(g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Step of a tree with one cut along the rows and one along the columns of a pair's bins."""
-    (gr, r), (gc, c) = _best_cut(g.sum(1), h.sum(1)), _best_cut(g.sum(0), h.sum(0))
-    step = np.zeros_like(g)
-    # a pair that only interacts has no cut along one side: the middle serves
-    r, c = r if gr > 0 else max(1, g.shape[0] // 2), c if gc > 0 else max(1, g.shape[1] // 2)
-    for rows in (slice(0, r), slice(r, None)):
-        for columns in (slice(0, c), slice(c, None)):
-            step[rows, columns] = g[rows, columns].sum() / (h[rows, columns].sum() + RIDGE)
+    """Step of a tree with one cut along the rows and one along the columns of a pair's bins, the two chosen together."""
+
+    def quarters(x: np.ndarray) -> list[np.ndarray]:
+        """Sums of the four parts for each place of the two cuts."""
+        sums = np.cumsum(np.cumsum(x, 0), 1)
+        low, rows, columns = sums[:-1, :-1], sums[:-1, -1:], sums[-1:, :-1]
+        return [low, rows - low, columns - low, sums[-1, -1] - rows - columns + low]
+
+    parts = list(zip(quarters(g), quarters(h), strict=True))
+    gain = sum(_gain(gp, hp) for gp, hp in parts)
+    r, c = np.unravel_index(int(np.argmax(gain)), gain.shape)
+    step = np.empty_like(g)
+    places = [(rows, columns) for rows in (slice(0, r + 1), slice(r + 1, None)) for columns in (slice(0, c + 1), slice(c + 1, None))]
+    for place, (gp, hp) in zip(places, parts, strict=True):
+        step[place] = gp[r, c] / (hp[r, c] + RIDGE)
     return step
 
 
@@ -238,7 +245,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
             columns = [batch.column(names.index(n)) for n in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def reject(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseworks.llm.common import named, private, row_key, same_key, spread_lookup, stored, with_field
+from caseworks.llm.common import map_batches, named, private, row_key, same_key, spread_lookup, stored, with_field
 from caseworks.llm.links import components
 
 SEED = 42
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint",
             columns = [batch.column(names.index(n)) for n in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values.view("int64"))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def bits_apart(a: Column, b: Column) -> Column:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseworks.llm.common import stored, with_field
+from caseworks.llm.common import map_batches, stored, with_field
 from caseworks.llm.sampling import labelled_sample
 
 SAMPLE, TERMS = 8_000, 600
@@ -367,4 +367,4 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "sco
             values = np.fromiter((text_score(v.as_py() or "", matcher, lexicon) for v in batch.column(names.index(text))), "float64", batch.num_rows)
             yield pa.RecordBatch.from_arrays([*[batch.column(names.index(n)) for n in kept], pa.array(values)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
