@@ -46,7 +46,7 @@ def _sliced(rows: DataFrame, key: str, ts: str, id_col: str) -> DataFrame:
     edges = moments.groupBy(key).agg(
         F.percentile_approx(micros, F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)]), 10 * SLICES).alias("_e")
     )
-    # One row per hot key, of which there are at most a thousand.
+    # One row per hot key, one in HOT_ROWS rows at most.
     placed = moments.join(F.broadcast(edges), key).withColumn(
         "_slice", F.size(F.filter("_e", lambda e: e < micros))
     ).drop("_e")
@@ -74,7 +74,7 @@ def repeat_rate(contacts: DataFrame) -> DataFrame:
     return contacts.agg(F.avg(F.col("is_repeat").cast("double")).alias("repeat_rate"))
 
 
-def repeat_by_theme(contacts: DataFrame, theme: str, top: int | None = 15) -> DataFrame:
+def repeat_by_theme(contacts: DataFrame, theme: str, top: int | None = None) -> DataFrame:
     ordered = (
         contacts.filter(F.col(theme).isNotNull())
         .groupBy(F.col(theme).alias("theme"))

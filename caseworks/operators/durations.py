@@ -34,7 +34,7 @@ def duration_gaps(df: DataFrame, opened: str, closed: str, hours: str = "open_ho
 
 
 def ttr_by_theme(
-    df: DataFrame, theme: str, hours: str = "open_hours", top: int | None = 15, exact: bool = True
+    df: DataFrame, theme: str, hours: str = "open_hours", top: int | None = None, exact: bool = True
 ) -> DataFrame:
     """Tickets, mean, median, P90 and P95 of valid durations per theme, largest theme first."""
     valid = valid_durations(df, hours).filter(F.col(theme).isNotNull()).select(

@@ -12,39 +12,49 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.functions.clean import EMBED_CHARS, as_column, truncate_chars
+from caseworks.functions.clean import as_column, truncate_chars
 from caseworks.functions.text import tokens
 from caseworks.functions.vectors import l2_normalize
 
+#: No text is longer: the most characters a string holds.
+WHOLE = (1 << 31) - 1
+
 # The keys an embedding payload may use, in order of preference.
 PAYLOAD_KEYS = ("float", "embedding", "embeddings", "int8", "uint8", "binary", "ubinary")
 
 
+def retried(call: Callable[[], Sequence], pauses: Sequence[float]) -> Sequence:
+    """``call()``, tried anew after each of ``pauses`` (seconds) until it succeeds; the last failure is the cause of the error."""
+    try:
+        return call()
+    except Exception as error:
+        if not pauses:
+            raise RuntimeError("no usable answer") from error
+    time.sleep(pauses[0])
+    return retried(call, pauses[1:])
+
+
 def encode_with_retry(
     encode: Callable[[list[str]], Sequence], texts: list[str], retries: int, backoff: float
 ) -> Sequence:
-    """Call ``encode`` until it returns one item per text; waits backoff**attempt seconds between tries."""
-    error: Exception | None = None
-    for attempt in range(1, retries + 1):
-        try:
-            got = encode(texts)
-            if len(got) != len(texts):
-                raise ValueError(f"got {len(got)} embeddings for {len(texts)} texts")
-            return got
-        except Exception as exc:
-            error = exc
-            if attempt < retries:
-                time.sleep(backoff**attempt)
-    raise RuntimeError(f"embedding failed after {retries} tries: {error}")
+    """One item per text from ``encode``, asked up to ``retries`` times with pauses that grow by the factor ``backoff``."""
+
+    def answer() -> Sequence:
+        found = encode(texts)
+        if len(found) == len(texts):
+            return found
+        raise ValueError(f"{len(texts)} texts, {len(found)} embeddings")
+
+    return retried(answer, [backoff**k for k in range(1, retries)])
 
 
 def embed(
     df: DataFrame, id_col: str, text: str, encode: Callable[[list[str]], Sequence], batch_size: int = 48,
-    max_chars: int = EMBED_CHARS, retries: int = 5, backoff: float = 2.0,
+    max_chars: int | None = None, retries: int = 5, backoff: float = 2.0,
 ) -> DataFrame:
     """(id, embedding) from a caller-supplied batch encoder.
 
-    Texts are flattened and cut to ``max_chars``, encoded ``batch_size`` at a time. A vector
+    Texts are flattened, cut to ``max_chars`` if given (``clean.EMBED_CHARS`` suits hosted encoders), and encoded ``batch_size`` at a time. A vector
     that is not numeric is asked for once more alone; if that fails too, the job fails.
     """
     kind = df.schema[id_col].dataType.simpleString()
@@ -65,7 +75,7 @@ def embed(
                         vectors.append(vector(encode_with_retry(encode, [one], retries, backoff)[0]))
             yield pd.DataFrame({id_col: frame[id_col], "embedding": [v.tolist() for v in vectors]})
 
-    ready = df.select(id_col, truncate_chars(text, max_chars).alias("_text"))
+    ready = df.select(id_col, truncate_chars(text, max_chars or WHOLE).alias("_text"))
     return ready.mapInPandas(run, f"{id_col} {kind}, embedding array<float>")
 
 

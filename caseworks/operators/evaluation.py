@@ -18,7 +18,7 @@ def accuracy(df: DataFrame, truth: str, prediction: str, by: Sequence[str] = ())
 
 
 def evaluate_vs_baseline(
-    pred: DataFrame, id_col: str, n_samples: int | None = 500, seed: int = 42,
+    pred: DataFrame, id_col: str, n_samples: int | None = None, seed: int = 42,
     target: str = "target", truth: str = "label", prediction: str = "prediction",
 ) -> DataFrame:
     """Per target: rows, classes, accuracy, and the share of the most frequent truth on the same rows.

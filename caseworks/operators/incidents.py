@@ -47,7 +47,7 @@ def daily_theme_dense(df: DataFrame, ts: str, theme: str, values: Sequence | Non
     return wide.unpivot(["day"], names, "theme", "count")
 
 
-def theme_spikes(df: DataFrame, ts: str, theme: str, z: float = 3.0, top: int | None = 20) -> DataFrame:
+def theme_spikes(df: DataFrame, ts: str, theme: str, z: float = 3.0, top: int | None = None) -> DataFrame:
     """Days on which a theme's count is at least ``z`` sample deviations above its own mean.
 
     The series of a theme covers every day observed for any theme, with 0 where the
@@ -85,7 +85,7 @@ def _midnight(day: str | date) -> datetime:
 
 def incident_attribution(
     df: DataFrame, ts: str, theme: str, start: str | date, end: str | date,
-    top: int | None = 15, whole_days: bool = False,
+    top: int | None = None, whole_days: bool = False,
 ) -> DataFrame:
     """Theme counts inside an incident window against the equally long window before it.
 

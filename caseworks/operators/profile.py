@@ -69,13 +69,11 @@ def value_counts(df: DataFrame, col: str, top: int | None = None, blank: bool =
 
 
 def target_profile(df: DataFrame, target: str, samples: int = 10) -> DataFrame:
-    """One row: classes, missing rows, the most frequent classes with counts, and sample values."""
+    """One row: classes, missing rows, all classes with their counts, and the ``samples`` most frequent values."""
     counts = df.groupBy(F.col(target).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    # The NULL class sorts last and is skipped by the aggregate: a filter would be pushed below the
-    # count and cost a second scan.
-    ordered = counts.orderBy(F.col("value").isNull(), F.desc("count"), "value").limit(samples)
+    # The aggregate skips the NULL class: a filter would be pushed below the count and cost a second scan.
     entry = F.when(F.col("value").isNotNull(), F.struct((-F.col("count")).alias("n"), "value"))
-    head = ordered.agg(F.sort_array(F.collect_list(entry)).alias("h"))
+    head = counts.agg(F.sort_array(F.collect_list(entry)).alias("h"))
     summary = counts.agg(
         F.count("value").alias("classes"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("missing"),
@@ -84,7 +82,7 @@ def target_profile(df: DataFrame, target: str, samples: int = 10) -> DataFrame:
     top = head.select(
         F.to_json(F.map_from_entries(F.transform("h", lambda e: F.struct(e["value"], -e["n"])))).alias("j")
     ).scalar()
-    names = head.select(F.concat_ws(",", F.transform("h", lambda e: e["value"]))).scalar()
+    names = head.select(F.concat_ws(",", F.transform(F.slice("h", 1, samples), lambda e: e["value"]))).scalar()
     return summary.select(
         F.lit(target).alias("target"), "rows", "classes", "missing",
         top.alias("class_counts"), names.alias("sample_values"),

@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.classification import OneVsRestModel
+from pyspark.ml.classification import GBTClassificationModel, OneVsRestModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +23,9 @@ def _label_array(labels: Sequence[str]) -> Column:
 def _probabilities(model) -> Column:
     if isinstance(model, OneVsRestModel):
         # One independent logistic output per class, scaled to sum to one.
-        each = F.transform(vector_to_array("rawPrediction"), lambda r: F.lit(1.0) / (F.lit(1.0) + F.exp(-r)))
+        # A boosted tree's margin is half the log-odds, other members give the log-odds.
+        scale = F.array(*[F.lit(2.0 if isinstance(m, GBTClassificationModel) else 1.0) for m in model.models])
+        each = F.zip_with(vector_to_array("rawPrediction"), scale, lambda r, k: F.lit(1.0) / (F.lit(1.0) + F.exp(-k * r)))
         total = F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
         return F.transform(each, lambda p: F.when(total > 0, p / total).otherwise(0.0))
     return vector_to_array("probability")

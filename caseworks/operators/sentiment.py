@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.functions.clean import SENTIMENT_BYTES, as_column, truncate_utf8
+from caseworks.functions.clean import as_column, truncate_utf8
 from caseworks.functions.text import tokens
 from caseworks.plans.bounded import MAX_LOCAL_ROWS, lookup_join
 
@@ -41,13 +41,14 @@ def is_upset(score: Column | str, threshold: float = -0.5, mode: str = "lt") ->
 
 def score_sentiment(
     df: DataFrame, id_col: str, text: str, scorer: Callable[[list[str]], list[tuple[str, float] | None]],
-    batch: int = 25, limit_bytes: int = SENTIMENT_BYTES,
+    batch: int = 25, limit_bytes: int | None = None,
 ) -> DataFrame:
     """(id, sentiment_label, negative_score) from a caller-supplied batch scorer.
 
-    ``scorer`` gets up to ``batch`` texts of at most ``limit_bytes`` bytes and returns one
-    (label, negative score) or None per text; a missing item or a failed batch reads
-    as ("NEUTRAL", 0.0).
+    ``scorer`` gets up to ``batch`` texts, cut to ``limit_bytes`` bytes if given
+    (``clean.SENTIMENT_BYTES`` suits hosted scorers), and returns one (label, negative score) or
+    None per text. None reads as ("NEUTRAL", 0.0); a failed call, or an answer of another
+    length, fails the task, which Spark tries again.
     """
     kind = df.schema[id_col].dataType.simpleString()
 
@@ -56,11 +57,9 @@ def score_sentiment(
             results: list[tuple[str, float]] = []
             for start in range(0, len(frame), batch):
                 chunk = frame["_text"].iloc[start : start + batch].tolist()
-                try:
-                    got = list(scorer(chunk))
-                except Exception:
-                    got = []
-                got = (got + [None] * len(chunk))[: len(chunk)]
+                got = list(scorer(chunk))
+                if len(got) != len(chunk):
+                    raise ValueError(f"{len(chunk)} texts, {len(got)} scores")
                 results.extend(r if r is not None else ("NEUTRAL", 0.0) for r in got)
             yield pd.DataFrame(
                 {
@@ -70,12 +69,13 @@ def score_sentiment(
                 }
             )
 
-    ready = df.select(id_col, truncate_utf8(text, limit_bytes).alias("_text"))
+    whole = F.coalesce(as_column(text), F.lit(""))
+    ready = df.select(id_col, (truncate_utf8(text, limit_bytes) if limit_bytes else whole).alias("_text"))
     return ready.mapInPandas(run, f"{id_col} {kind}, sentiment_label string, negative_score double")
 
 
 def sentiment_by_theme(
-    df: DataFrame, theme: str, score: str, upset: Column, top: int | None = 15, labels: DataFrame | None = None
+    df: DataFrame, theme: str, score: str, upset: Column, top: int | None = None, labels: DataFrame | None = None
 ) -> DataFrame:
     """Tickets, mean score and upset rate per theme, most upset first, label attached if given."""
     summary = (

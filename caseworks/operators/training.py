@@ -220,19 +220,28 @@ def train_all_targets(
     accuracy, error) rows.
     """
     spark = split.sparkSession
-    if variant == "encoded" and encoders is None:
-        encoders = fit_encoders(split.filter(F.col("split") == "train"), routing)
+    own = variant == "encoded" and encoders is None and "features" not in split.columns
     plain = Classifier("", None, [], routing, variant, encoders=encoders or {})
-    ready = split if "features" in split.columns else plain.features(split)
-    table = ready.select(id_col, "target", "label", "split", "features")
+    if own:
+        # A row may train one target and validate another: each target has encoders of its own.
+        table = split
+    else:
+        ready = split if "features" in split.columns else plain.features(split)
+        table = ready.select(id_col, "target", "label", "split", "features")
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(target: str):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"target-{target}")
         try:
-            return fit_target(table, id_col, target, routing, trainer, variant, fit_labels_on, encoders), None
+            if not own:
+                return fit_target(table, id_col, target, routing, trainer, variant, fit_labels_on, encoders), None
+            rows = table.filter(F.col("target") == target)
+            fitted = fit_encoders(rows.filter(F.col("split") == "train"), routing)
+            coded = Classifier("", None, [], routing, variant, encoders=fitted).features(rows)
+            coded = coded.select(id_col, "target", "label", "split", "features")
+            return fit_target(coded, id_col, target, routing, trainer, variant, fit_labels_on, fitted), None
         except Exception as exc:
-            return None, str(exc).splitlines()[0][:300]
+            return None, f"{type(exc).__name__}: {exc}"[:2000]
 
     try:
         with ThreadPoolExecutor(parallel) as pool:

@@ -56,12 +56,10 @@ def lookup_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, share: float = 0.001) -> list:
-    """Keys holding at least ``min_rows`` rows and at least ``share`` of all rows.
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> list:
+    """Keys holding at least ``min_rows`` rows, whatever their share of all rows.
 
-    At most ``1/share`` keys can qualify, which bounds what reaches the driver.
+    One key in ``min_rows`` rows can qualify at most, which bounds what reaches the driver.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    hot = counts.filter((F.col("_n") >= min_rows) & (F.col("_n") >= total * F.lit(share)))
-    return [r[0] for r in hot.select(key).collect()]
+    return [r[0] for r in counts.filter(F.col("_n") >= min_rows).select(key).collect()]

@@ -33,9 +33,11 @@ def train_evaluate_register(
     for target in targets:
         require_classes(df, target)
     routing = route_features(df.schema, features, rule)
-    # Features once per row, before the row is repeated per target.
-    rows = Classifier("", None, [], routing, variant).features(df).select(id_col, "features", *targets)
-    split = split_support_aware(rows, id_col, ["features"], targets)
+    if variant == "encoded":  # encoders are learned from the train part, so features come after the split
+        split = split_support_aware(df.select(id_col, *features, *targets), id_col, list(features), targets)
+    else:  # features once per row, before the row is repeated per target
+        rows = Classifier("", None, [], routing, variant).features(df).select(id_col, "features", *targets)
+        split = split_support_aware(rows, id_col, ["features"], targets)
     trainer = trainer or (lambda train, val: train_linear(train, one_vs_rest=False))
     models, report = train_all_targets(split, id_col, targets, routing, trainer, variant)
     spark, now = df.sparkSession, datetime.now(timezone.utc).replace(tzinfo=None)

@@ -60,6 +60,11 @@ def target_profile(spark, sf):
     return profile.target_profile(labelled_documents(spark, sf), "quality")
 
 
+def target_profile_many(spark, sf):
+    """More classes than sample values: all of them are counted."""
+    return profile.target_profile(table(spark, sf, "part"), "p_brand")
+
+
 def describe_hours(spark, sf):
     found = profile.describe_exact(durations(spark, sf), ["open_hours"])
     return found.select("column", "count", *[r6(c).alias(c) for c in found.columns[2:]])
@@ -135,7 +140,7 @@ WITH a AS (
 SELECT theme, incident, baseline, incident - baseline AS delta,
        round(incident / (SELECT sum(incident) FROM a)::DOUBLE, 6) AS incident_share
 FROM a WHERE incident + baseline > 0
-ORDER BY incident / (SELECT sum(incident) FROM a)::DOUBLE DESC, delta DESC, theme LIMIT 15"""
+ORDER BY incident / (SELECT sum(incident) FROM a)::DOUBLE DESC, delta DESC, theme"""
 
 
 _REPEAT = """
@@ -153,7 +158,7 @@ _TTR = f"""
 WITH {DURATIONS_SQL}
 SELECT theme, count(*) AS tickets, round(avg(open_hours), 6) AS mean, round(quantile_cont(open_hours, 0.5), 6) AS p50,
        round(quantile_cont(open_hours, 0.9), 6) AS p90, round(quantile_cont(open_hours, 0.95), 6) AS p95
-FROM dur WHERE open_hours >= 0 GROUP BY theme ORDER BY tickets DESC, theme LIMIT 15"""
+FROM dur WHERE open_hours >= 0 GROUP BY theme ORDER BY tickets DESC, theme"""
 
 _MISSING = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing FROM dl"
@@ -212,7 +217,18 @@ top AS (SELECT * FROM v WHERE value IS NOT NULL ORDER BY n DESC, value LIMIT 10)
 SELECT 'quality' AS target, CAST((SELECT sum(n) FROM v) AS BIGINT) AS rows,
        (SELECT count(value) FROM v) AS classes,
        CAST((SELECT coalesce(sum(n), 0) FROM v WHERE value IS NULL) AS BIGINT) AS missing,
-       (SELECT '{{' || string_agg('"' || value || '":' || n, ',' ORDER BY n DESC, value) || '}}' FROM top) AS class_counts,
+       (SELECT '{{' || string_agg('"' || value || '":' || n, ',' ORDER BY n DESC, value) || '}}' FROM v WHERE value IS NOT NULL) AS class_counts,
+       (SELECT string_agg(value, ',' ORDER BY n DESC, value) FROM top) AS sample_values""",
+    ),
+    "target_profile_many": (
+        target_profile_many,
+        """
+WITH v AS (SELECT p_brand AS value, count(*) AS n FROM part GROUP BY 1),
+top AS (SELECT * FROM v WHERE value IS NOT NULL ORDER BY n DESC, value LIMIT 10)
+SELECT 'p_brand' AS target, CAST((SELECT sum(n) FROM v) AS BIGINT) AS rows,
+       (SELECT count(value) FROM v) AS classes,
+       CAST((SELECT coalesce(sum(n), 0) FROM v WHERE value IS NULL) AS BIGINT) AS missing,
+       (SELECT '{' || string_agg('"' || value || '":' || n, ',' ORDER BY n DESC, value) || '}' FROM v WHERE value IS NOT NULL) AS class_counts,
        (SELECT string_agg(value, ',' ORDER BY n DESC, value) FROM top) AS sample_values""",
     ),
     "describe_hours": (
@@ -259,7 +275,7 @@ SELECT count(*) FILTER (open_hours >= 0) AS valid_rows,
         repeat_by_theme,
         f"""WITH {_REPEAT},
 t AS (SELECT theme, count(*) AS tickets, avg(CASE WHEN hours <= 24 THEN 1.0 ELSE 0.0 END) AS r FROM h GROUP BY 1)
-SELECT theme, tickets, round(r, 6) AS repeat_rate FROM t ORDER BY r DESC, tickets DESC, theme LIMIT 15""",
+SELECT theme, tickets, round(r, 6) AS repeat_rate FROM t ORDER BY r DESC, tickets DESC, theme""",
     ),
     "sample_exact": (
         sample_exact_500,

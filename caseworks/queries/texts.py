@@ -280,11 +280,7 @@ q AS (
   FROM documents LEFT JOIN h USING (doc_id)
 )"""
 _CUT = """
-k AS (
-  SELECT doc_id, left(text, CASE WHEN strlen(text) <= 4900 THEN length(text)
-              ELSE list_max(list_filter(range(1225, 4901), lambda i: strlen(left(text, i)) <= 4900)) END) AS t
-  FROM documents
-)"""
+k AS (SELECT doc_id, text AS t FROM documents)"""
 
 QUERIES = {
     "tfidf_weights": (
@@ -377,7 +373,7 @@ SELECT doc_id, CASE WHEN none THEN 'NEUTRAL' ELSE 'NEGATIVE' END AS sentiment_la
     ),
     "embed_docs": (
         embed_docs,
-        "WITH t AS (SELECT doc_id, left(" + STRIP.format(x="replace(text, chr(10), ' ')") + ", 6000) AS t FROM documents) "
+        "WITH t AS (SELECT doc_id, " + STRIP.format(x="replace(text, chr(10), ' ')") + " AS t FROM documents) "
         "SELECT doc_id, length(t)::DOUBLE AS chars, (length(t) - length(replace(t, ' ', '')))::DOUBLE AS spaces FROM t",
     ),
     "embed_hashed": (

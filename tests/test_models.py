@@ -218,3 +218,31 @@ def test_case_report(spark, sf):
         assert report[part].agg(F.sum("tickets")).first()[0] == n
     assert report["keywords"].count() == report["sizes"].count()
     assert not report["spikes"].isEmpty()
+
+
+def test_one_vs_rest_tree_probabilities(spark):
+    """Scores of boosted trees agree with the members' own probabilities, scaled to one."""
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors
+
+    from caseworks.operators.scoring import _probabilities
+
+    rows = [(Vectors.dense([float(i % 3), float(i % 7)]), float(i % 3 if i % 11 else 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    model = OneVsRest(classifier=GBTClassifier(maxIter=3, maxDepth=2)).fit(df)
+    found = model.transform(df).select("features", _probabilities(model).alias("p")).limit(20).collect()
+    for r in found:
+        own = [float(m.predictProbability(r["features"])[1]) for m in model.models]
+        assert r["p"] == pytest.approx([p / sum(own) for p in own], abs=1e-9)
+
+
+def test_encoded_run_fits_encoders_after_the_split(spark, sf, tmp_path):
+    from caseworks.plans.multi_target import train_evaluate_register
+    from caseworks.sources.readers import table
+
+    parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size", "p_type")
+    models, summary = train_evaluate_register(
+        parts, "p_partkey", ["p_brand", "p_size"], ["p_type"], "c", str(tmp_path), threshold=0.0, variant="encoded"
+    )
+    assert list(models) == ["p_type"] and models["p_type"].encoders and summary.count() == 1

@@ -306,16 +306,21 @@ def test_encode_with_retry():
         encode_with_retry(lambda t: [], ["a"], retries=2, backoff=0.0)
 
 
-def test_failed_batches_are_neutral(spark):
+def test_only_failed_items_are_neutral(spark):
     df = spark.range(60, numPartitions=1).select("id", F.concat(F.lit("t"), "id").alias("t"))
 
     def scorer(texts):
-        if "t0" in texts:
-            raise OSError("down")
-        return [("NEGATIVE", 0.9)] * (len(texts) - 1)
+        return [None if t.endswith("7") else ("NEGATIVE", 0.9) for t in texts]
 
     got = score_sentiment(df, "id", "t", scorer).groupBy("sentiment_label").count().collect()
-    assert {r[0]: r[1] for r in got} == {"NEUTRAL": 27, "NEGATIVE": 33}
+    assert {r[0]: r[1] for r in got} == {"NEUTRAL": 6, "NEGATIVE": 54}
+
+    def down(texts):
+        raise OSError("down")
+
+    for broken in (down, lambda texts: [("NEGATIVE", 0.9)]):
+        with pytest.raises(Exception, match="down|60|25"):
+            score_sentiment(df, "id", "t", broken).collect()
 
 
 @pytest.mark.parametrize(
