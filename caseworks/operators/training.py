@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -11,7 +12,6 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
     OneVsRest,
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from caseworks.operators.boosting import SoftmaxTreesModel, fit_softmax_trees
 from caseworks.operators.features import (
     FeatureRouting,
     featurize,
@@ -34,7 +35,6 @@ from caseworks.operators.features import (
 from caseworks.plans.bounded import bounded_rows, lookup_join
 
 MAX_CLASSES = 100_000
-BOOST_CLASS_LIMIT = 20
 LOADERS = {
     "OneVsRestModel": OneVsRestModel,
     "LogisticRegressionModel": LogisticRegressionModel,
@@ -47,7 +47,7 @@ class Classifier:
     """A fitted model with what scoring needs: target, feature routing and class names."""
 
     target: str
-    model: Model
+    model: Model | SoftmaxTreesModel
     labels: list[str]
     routing: FeatureRouting
     variant: str = "values"
@@ -64,7 +64,10 @@ class Classifier:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Folder with ``model``, ``features`` and ``labels``."""
-        self.model.write().overwrite().save(f"{path}/model")
+        if isinstance(self.model, SoftmaxTreesModel):
+            self.model.save(spark, f"{path}/model")
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
         meta = json.dumps(
             {
                 "target": self.target,
@@ -84,7 +87,10 @@ class Classifier:
     def load(spark: SparkSession, path: str) -> Classifier:
         meta = json.loads(spark.read.text(f"{path}/features").first()[0])
         labels = [r["label"] for r in bounded_rows(spark.read.parquet(f"{path}/labels").orderBy("index"), MAX_CLASSES)]
-        model = LOADERS[meta["class"]].load(f"{path}/model")
+        if meta["class"] == SoftmaxTreesModel.__name__:
+            model = SoftmaxTreesModel.load(spark, f"{path}/model")
+        else:
+            model = LOADERS[meta["class"]].load(f"{path}/model")
         routing = FeatureRouting(**meta["routing"])
         encoded = routing.categorical if meta["variant"] == "encoded" else []
         encoders = {c: spark.read.parquet(f"{path}/encoders/{c}") for c in encoded}
@@ -101,41 +107,28 @@ def train_linear(train: DataFrame, reg: float = 1e-4, max_iter: int = 20, one_vs
 
 def train_trees(
     train: DataFrame, val: DataFrame | None = None, rounds: int = 200, depth: int = 6, eta: float = 0.2,
-    subsample: float = 1.0, columns: float = 1.0, early_stop: bool = False, seed: int = 42, parallelism: int = 4,
-) -> Model:
-    """Boosted trees, one booster per class; a random forest of ``rounds`` trees above 20 classes.
+    subsample: float = 1.0, columns: float = 1.0, early_stop: int | None = None, tolerance: float = 0.0,
+    seed: int = 42, parallelism: int = 8,
+) -> SoftmaxTreesModel:
+    """Boosted trees under the softmax loss, whatever the number of classes.
 
-    With ``early_stop`` each booster watches the validation rows and stops when they no
-    longer improve. Cost of boosting is classes × rounds, hence the switch.
+    With ``early_stop`` the fit ends once the log loss of ``val`` has not fallen by a
+    share ``tolerance`` for that many rounds, and the best round is kept.
     """
-    classes = int(train.agg(F.max("label")).first()[0]) + 1
-    if classes > BOOST_CLASS_LIMIT:
-        forest = RandomForestClassifier(
-            numTrees=rounds, maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy="auto", seed=seed
-        )
-        return forest.fit(train)
-    booster = GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=eta, subsamplingRate=subsample,
-        featureSubsetStrategy=str(columns) if columns < 1 else "all", seed=seed,
-    )
-    if not early_stop or val is None:
-        return OneVsRest(classifier=booster, parallelism=parallelism).fit(train)
-    # One-vs-rest does not hand the validation flag on, so the per-class problems are stated here.
-    both = (
-        train.select("label", "features", F.lit(False).alias("_watch"))
-        .unionByName(val.select("label", "features", F.lit(True).alias("_watch")))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        def one(c: int) -> Model:
-            data = both.withColumn("label", (F.col("label") == c).cast("double"))
-            return booster.copy({booster.validationIndicatorCol: "_watch"}).fit(data)
+    if early_stop and val is None:
+        raise ValueError("early_stop needs validation rows")
+    counts = bounded_rows(train.groupBy("label").agg(F.count(F.lit(1)).alias("n")), MAX_CLASSES, "class list")
+    held = {int(r["label"]): r["n"] for r in counts}
+    if not held:
+        raise ValueError("no training rows")
+    total = sum(held.values()) + max(held) + 1
+    priors = [math.log((held.get(k, 0) + 1) / total) for k in range(max(held) + 1)]
+    return fit_softmax_trees(train, priors, val, rounds, depth, eta, subsample, columns, early_stop, tolerance, seed, parallelism)
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(classes)))
-    finally:
-        both.unpersist()
-    return OneVsRestModel(models=models)
+
+def train_forest(train: DataFrame, trees: int = 200, depth: int = 6, subsample: float = 1.0, seed: int = 42) -> Model:
+    """Random forest on (label, features)."""
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, subsamplingRate=subsample, seed=seed).fit(train)
 
 
 def holdout_accuracy(model: Model, val: DataFrame) -> float | None:
@@ -149,16 +142,18 @@ def search_best(
 ) -> tuple[Model, list[tuple[str, str, float | None, float, str | None]]]:
     """Fit candidates in order until a budget ends and keep the one most accurate on ``val``.
 
-    Returns the model and one (candidate, status, accuracy, seconds, error) row per tried
-    candidate. A candidate over its own budget is kept in the report but not chosen.
+    Returns the model and one (candidate, status, accuracy, seconds, error) row per
+    candidate. One over its own budget is kept in the report but not chosen; those the
+    budgets leave out are reported as ``NotTried``.
     """
     best, best_score, report = None, -1.0, []
     start = time.monotonic()
     train, val = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, val))
     try:
-        for name, fit in list(candidates)[:max_candidates]:
-            if time.monotonic() - start > max_seconds:
-                break
+        for number, (name, fit) in enumerate(candidates):
+            if number >= max_candidates or time.monotonic() - start > max_seconds:
+                report.append((name, "NotTried", None, 0.0, None))
+                continue
             began = time.monotonic()
             try:
                 model = fit(train)
@@ -169,7 +164,7 @@ def search_best(
                 if not late and (score or 0.0) > best_score:
                     best, best_score = model, score or 0.0
             except Exception as exc:
-                report.append((name, "Failed", None, time.monotonic() - began, str(exc).splitlines()[0][:300]))
+                report.append((name, "Failed", None, time.monotonic() - began, f"{type(exc).__name__}: {exc}"[:2000]))
     finally:
         train.unpersist()
         val.unpersist()

@@ -106,16 +106,22 @@ def _matrix(lines, target):
 def test_trees(lines):
     train, val = _matrix(lines, "account")
     assert training.holdout_accuracy(training.train_trees(train, rounds=2, depth=2), val) == 1.0
-    model = training.train_trees(train, val, rounds=3, depth=2, early_stop=True)
+    model = training.train_trees(train, val, rounds=3, depth=2, early_stop=1)
     assert training.holdout_accuracy(model, val) == 1.0
     coin = [d.withColumn("label", (F.rand(5) < 0.5).cast("double")).persist() for d in (train, val)]
-    stopped = training.train_trees(*coin, rounds=40, depth=2, early_stop=True)
-    assert all(m.getNumTrees < 40 for m in stopped.models)
+    stopped = training.train_trees(*coin, rounds=15, depth=2, early_stop=1)
+    assert stopped.rounds < 15
+    with pytest.raises(ValueError):
+        training.train_trees(train, early_stop=5)
 
 
-def test_many_classes_use_a_forest(spark):
-    train = spark.range(250).select((F.col("id") % 25).cast("double").alias("label"), array_to_vector(F.array((F.col("id") % 25).cast("double"))).alias("features"))
-    assert type(training.train_trees(train, rounds=3, depth=5)).__name__ == "RandomForestClassificationModel"
+def test_boosting_takes_any_number_of_classes(spark):
+    label = (F.col("id") % 21).cast("double")
+    train = spark.range(210).coalesce(2).select(label.alias("label"), array_to_vector(F.array(label)).alias("features"))
+    model = training.train_trees(train, rounds=1, depth=5)
+    assert len(model.priors) == 21 and model.losses[0][0] < 3.0
+    got = model.transform(train).select("label", "prediction", "probability").collect()
+    assert all(r["label"] == r["prediction"] and abs(sum(r["probability"]) - 1) < 1e-9 for r in got)
 
 
 def test_search_keeps_the_best_within_budget(lines):
@@ -127,7 +133,7 @@ def test_search_keeps_the_best_within_budget(lines):
     fits = [("weak", lambda d: training.train_linear(d, reg=100.0, one_vs_rest=False)), ("broken", broken),
             ("good", lambda d: training.train_linear(d, one_vs_rest=False)), ("never", broken)]
     model, report = training.search_best(train, val, fits, max_candidates=3)
-    assert [(r[0], r[1]) for r in report] == [("weak", "Completed"), ("broken", "Failed"), ("good", "Completed")]
+    assert [(r[0], r[1]) for r in report] == [("weak", "Completed"), ("broken", "Failed"), ("good", "Completed"), ("never", "NotTried")]
     assert training.holdout_accuracy(model, val) > 0.95
     with pytest.raises(RuntimeError):
         training.search_best(train, val, [("broken", broken)])
