@@ -2,25 +2,44 @@
 
 Class counts, theme statistics, thresholds and code tables are usually tiny next
 to the rows they describe, but nothing guarantees it. Each helper here measures
-the table first: it is broadcast only when it fits, and a salted shuffle join
-takes over when it does not, so a hot key never lands in one task.
+the table first, in rows and bytes: it is broadcast only when it fits. When it does
+not, a shuffle join takes over in which the keys measured to be hot, and only those,
+are salted, so none of them lands in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_LOCAL_ROWS = 100_000
-SALTS = 64
+MAX_LOCAL_BYTES = 32 << 20
+#: Rows of one key that one task takes in a shuffle join.
+KEY_ROWS = 1_000_000
 
 
-def local_table(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame | None:
-    """``df`` evaluated once and held as a literal relation; None when larger than ``max_rows``."""
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+def _array_bytes(field: T.StructField) -> Column:
+    """Bytes an array takes, roughly; text counts in full."""
+    column = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType.elementType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(F.octet_length(x), F.lit(0))), F.lit(0))
+    return 8 * F.greatest(F.size(column), F.lit(0)).cast("long")
+
+
+def local_table(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS, max_bytes: int = MAX_LOCAL_BYTES) -> DataFrame | None:
+    """``df`` held as a literal relation; None when it has more rows or bytes.
+
+    Arrays are measured before anything is fetched; flat rows are measured once fetched.
+    """
+    head = df.limit(max_rows + 1)
+    arrays = [_array_bytes(f) for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    if arrays and (head.agg(F.sum(sum(arrays))).first()[0] or 0) > max_bytes:
+        return None
+    table = head.toArrow()
+    if table.num_rows > max_rows or table.nbytes > max_bytes:
         return None
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 
@@ -40,19 +59,27 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "left",
     max_rows: int = MAX_LOCAL_ROWS,
+    key_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """Join ``rows`` with a table holding one row per ``on`` key.
 
-    Broadcast when the table has at most ``max_rows`` rows (counted, not guessed).
-    Otherwise both sides are shuffled on the key plus a salt derived from
-    ``spread_by`` so that one key holding a large share of ``rows`` is spread
-    over ``SALTS`` tasks.
+    Broadcast when the table is small (measured, not guessed). Otherwise the rows are
+    counted by key first: a key with more than ``key_rows`` rows gets as many salts as it
+    takes, chosen by ``spread_by``, and its row of the table as many copies. Other keys
+    are neither salted nor copied. Rows with a NULL key match nothing and are spread freely.
     """
     small = local_table(table, max_rows)
     if small is not None:
         return rows.join(F.broadcast(small), list(on), how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > key_rows)
+    # One row per ``key_rows`` rows at most.
+    hot = F.broadcast(counts.select(*on, F.ceil(F.col("_n") / key_rows).cast("int").alias("_salts")))
+    place = F.xxhash64(*spread_by)
+    no_key = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    salt = F.when(no_key, F.pmod(place, F.lit(1 << 30))).otherwise(F.pmod(place, F.coalesce("_salts", F.lit(1))))
+    salted = rows.join(hot, list(on), "left").withColumn("_salt", salt.cast("int")).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = table.join(hot, list(on), "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

@@ -92,6 +92,25 @@ def test_large_lookup_equals_broadcast(skewed):
     assert "_salt" in plan
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_only_hot_keys_are_salted(skewed, how):
+    """A key above the limit is spread whatever its share; null keys and missing ones join as ever."""
+    rows = skewed.select(F.when(F.col("id") % 10 > 0, F.col("k")).alias("k"), "id", "v")
+    table = skewed.filter("k <> 'k1'").groupBy("k").agg(F.max("v").alias("m"))
+    small = lookup_join(rows, table, ["k"], ["id"], how)
+    salted = lookup_join(rows, table, ["k"], ["id"], how, max_rows=3, key_rows=300)
+    assert small.columns == salted.columns
+    key = lambda r: r["id"]
+    assert sorted(small.collect(), key=key) == sorted(salted.collect(), key=key)
+
+
+def test_wide_tables_are_not_broadcast(spark):
+    wide = spark.range(50).select("id", F.array_repeat(F.lit(1.0), 100).alias("a"), F.array(F.lit("xy"), F.lit(None)).alias("b"))
+    assert local_table(wide, max_bytes=10_000) is None
+    assert local_table(wide).count() == 50
+    assert local_table(spark.range(50).select(F.repeat(F.lit("x"), 100).alias("t")), max_bytes=1_000) is None
+
+
 def test_bounds_are_checked(skewed):
     assert local_table(skewed, 10) is None
     assert local_table(skewed, 3000).count() == 3000
@@ -110,7 +129,7 @@ def test_large_dictionary_codes(skewed):
 def test_encoding_without_broadcast(skewed, monkeypatch):
     codes = category_codes(skewed.filter("k <> 'k1'"), "k")
     small = encode_category(skewed, codes, "k", ["id"]).collect()
-    monkeypatch.setattr(bounded.lookup_join, "__defaults__", ("left", 3))
+    monkeypatch.setattr(bounded.lookup_join, "__defaults__", ("left", 3, 1000))
     salted = encode_category(skewed, codes, "k", ["id"]).collect()
     assert sorted(small) == sorted(salted)
 
