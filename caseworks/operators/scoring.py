@@ -36,12 +36,14 @@ def score(df: DataFrame, clf: Classifier) -> DataFrame:
 
     A column named like the target is dropped first. A class index without a name shows as its number.
     """
-    inputs = df.drop(clf.target) if clf.target in df.columns and clf.target not in _inputs(clf) else df
-    keep = inputs.columns
-    scored = clf.model.transform(clf.features(inputs))
+    return _scored(df.drop(clf.target) if clf.target in df.columns and clf.target not in _inputs(clf) else df, clf)
+
+
+def _scored(df: DataFrame, clf: Classifier) -> DataFrame:
+    scored = clf.model.transform(clf.features(df))
     index = F.col("prediction").cast("int")
     name = F.coalesce(F.try_element_at(_label_array(clf.labels), index + 1), index.cast("string"))
-    return scored.select(*keep, name.alias("prediction"), _probabilities(clf.model).alias("probabilities"))
+    return scored.select(*df.columns, name.alias("prediction"), _probabilities(clf.model).alias("probabilities"))
 
 
 def _inputs(clf: Classifier) -> list[str]:
@@ -52,19 +54,20 @@ def score_all_targets(df: DataFrame, models: Mapping[str, Classifier], id_col: s
     """(id, target, prediction, confidence, top): every row scored by every model.
 
     ``top`` holds the most probable classes with their probabilities, most probable first.
+    The rows are read once: each model adds its answer to the row, then the answers become rows.
     """
-
-    def one(target: str, clf: Classifier) -> DataFrame:
-        scored = score(df.select(id_col, *[c for c in _inputs(clf) if c != id_col]), clf)
+    inputs = dict.fromkeys(c for clf in models.values() for c in _inputs(clf) if c != id_col)
+    rows, answers = df.select(id_col, *inputs), []
+    for number, (target, clf) in enumerate(sorted(models.items())):
         pairs = F.zip_with("probabilities", _label_array(clf.labels), lambda p, l: F.struct(p.alias("p"), l.alias("l")))
-        ranked = F.sort_array(pairs, asc=False)
-        return scored.select(
-            id_col, F.lit(target).alias("target"), "prediction",
-            F.array_max("probabilities").alias("confidence"),
-            F.transform(F.slice(ranked, 1, top), lambda e: F.struct(e["l"].alias("label"), e["p"].alias("probability"))).alias("top"),
+        best = F.slice(F.sort_array(pairs, asc=False), 1, top)
+        answer = F.struct(
+            F.lit(target).alias("target"), "prediction", F.array_max("probabilities").alias("confidence"),
+            F.transform(best, lambda e: F.struct(e["l"].alias("label"), e["p"].alias("probability"))).alias("top"),
         )
-
-    return reduce(DataFrame.unionByName, [one(t, c) for t, c in sorted(models.items())])
+        rows = _scored(rows, clf).select(*rows.columns, answer.alias(f"_answer{number}"))
+        answers.append(f"_answer{number}")
+    return rows.select(id_col, F.inline(F.array(*answers)))
 
 
 def score_dispatch(
@@ -106,9 +109,12 @@ def score_dispatch(
     return reduce(DataFrame.unionByName, [one(t) for t in known], rejects)
 
 
-def format_predictions(df: DataFrame, request: str, position: str, how: str = "json", prediction: str = "prediction") -> DataFrame:
+def format_predictions(
+    df: DataFrame, request: str, position: str, how: str | Sequence[str] = "json", prediction: str = "prediction"
+) -> DataFrame:
     """(request, body): the answers of one request in order, as JSON list, comma text or {"prediction": […]}.
 
+    Several forms asked for together come from one grouping, each in a column of its name.
     One request is one document and came in as one; requests are never merged.
     """
     listed = F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col(prediction).alias("v"))))
@@ -117,8 +123,9 @@ def format_predictions(df: DataFrame, request: str, position: str, how: str = "j
         "json": F.to_json(values),
         "csv": F.concat_ws(",", values),
         "object": F.to_json(F.struct(values.alias("prediction"))),
-    }[how]
-    return df.groupBy(request).agg(listed.alias("_l")).select(request, body.alias("body"))
+    }
+    forms = [body[how].alias("body")] if isinstance(how, str) else [body[h].alias(h) for h in how]
+    return df.groupBy(request).agg(listed.alias("_l")).select(request, *forms)
 
 
 def to_csv_line(cols: Sequence[Column | str]) -> Column:

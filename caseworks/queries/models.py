@@ -255,11 +255,7 @@ def score_dispatch(spark, sf):
 
 def format_predictions(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    shapes = [
-        scoring.format_predictions(lines, "l_orderkey", "l_linenumber", how, "l_returnflag").withColumnRenamed("body", how)
-        for how in ("json", "csv", "object")
-    ]
-    return shapes[0].join(shapes[1], "l_orderkey").join(shapes[2], "l_orderkey")
+    return scoring.format_predictions(lines, "l_orderkey", "l_linenumber", ("json", "csv", "object"), "l_returnflag")
 
 
 def to_csv_line(spark, sf):

@@ -76,6 +76,15 @@ def test_probabilities(lines, trained):
         assert [t["probability"] for t in r["top"]] == sorted((t["probability"] for t in r["top"]), reverse=True)
 
 
+def test_all_targets_are_scored_in_one_scan(spark, lines, trained, tmp_path):
+    lines.write.parquet(str(tmp_path / "lines"))
+    stored = spark.read.parquet(str(tmp_path / "lines"))
+    plan = scoring.score_all_targets(stored, trained[0], "id")._jdf.queryExecution().executedPlan().toString()
+    assert len(trained[0]) > 1 and plan.count("FileScan") == 1
+    shapes = scoring.format_predictions(stored, "vendor", "id", ("json", "csv"), "line_desc")
+    assert shapes._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and shapes.columns == ["vendor", "json", "csv"]
+
+
 def test_unknown_index_shows_as_number(lines, trained):
     clf = trained[0]["account"]
     short = training.Classifier(clf.target, clf.model, clf.labels[:1], clf.routing)
