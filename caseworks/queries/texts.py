@@ -23,6 +23,8 @@ def _docs(spark, sf, *columns):
 
 def _vectors(spark, sf):
     return table(spark, sf, "embeddings")
+# Frequent words in the parts of negations, boosters and the contrast word.
+NEGATIONS, BOOSTERS, CONTRAST = ["not", "en", "nicht", "ne"], {"to": 0.293, "in": 0.293, "die": -0.293, "el": -0.293, "la": 0.293}, "with"
 
 
 # TF-IDF
@@ -122,7 +124,9 @@ def _lexicon(spark):
 
 
 def _scored(spark, sf):
-    return sentiment.lexicon_sentiment(_docs(spark, sf, "lang"), "doc_id", "text", _lexicon(spark), keep=["lang"])
+    return sentiment.lexicon_sentiment(
+        _docs(spark, sf, "lang"), "doc_id", "text", _lexicon(spark), ["lang"], NEGATIONS, BOOSTERS, CONTRAST
+    )
 
 
 def lexicon_sentiment(spark, sf):
@@ -271,14 +275,47 @@ SELECT grp AS theme, any_value(tickets) AS tickets,
 FROM r WHERE rank <= {n} GROUP BY grp"""
 
 
+def _case(word: str, entries: dict[str, float]) -> str:
+    return f"CASE {word} " + " ".join(f"WHEN '{t}' THEN {v}::DOUBLE" for t, v in entries.items()) + " END"
+
+
+_BARE = (
+    r"list_transform(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> ''), "
+    r"lambda w: regexp_replace(w, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z', '', 'g'))"
+)
 _LEX = f"""
-lex(token, valence) AS (VALUES {', '.join(f"('{t}', {v})" for t, v in LEXICON)}),
-w AS (SELECT doc_id, lang, unnest({WORDS}) AS token FROM documents),
-h AS (SELECT doc_id, sum(valence) AS s FROM w JOIN lex USING (token) GROUP BY 1),
-q AS (
-  SELECT doc_id, lang, coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15.0) AS compound
-  FROM documents LEFT JOIN h USING (doc_id)
-)"""
+b0 AS (SELECT doc_id, lang, text, {_BARE} AS bare FROM documents),
+b1 AS (
+  SELECT doc_id, lang, list_transform(bare, lambda w: lower(w)) AS low, list_transform(bare, lambda w: w = upper(w) AND w <> lower(w)) AS loud,
+         length(text) - length(replace(text, '!', '')) AS bangs, length(text) - length(replace(text, '?', '')) AS asked FROM b0
+),
+b2 AS (
+  SELECT *, list_transform(low, lambda w: {_case("w", dict(LEXICON))}) AS val, list_transform(low, lambda w: {_case("w", BOOSTERS)}) AS boost,
+         list_transform(low, lambda w: w IN ({", ".join(f"'{w}'" for w in NEGATIONS)})) AS neg,
+         coalesce(list_position(low, '{CONTRAST}'), 0) AS turn, list_contains(loud, true) AND list_contains(loud, false) AS mixed FROM b1
+),
+w AS (
+  SELECT doc_id, unnest(val) AS v, unnest(loud) AND mixed AS loud, generate_subscripts(val, 1) AS i, turn,
+         unnest(list_transform(boost, lambda x, k: CASE WHEN val[k] IS NULL THEN x END)) AS boost, unnest(neg) AS neg FROM b2
+),
+g AS (
+  SELECT *, coalesce(lag(boost, 1) OVER o, 0) + 0.95 * coalesce(lag(boost, 2) OVER o, 0) + 0.9 * coalesce(lag(boost, 3) OVER o, 0) AS up,
+         (CASE WHEN lag(neg, 1) OVER o THEN -0.74 ELSE 1.0 END)::DOUBLE * (CASE WHEN lag(neg, 2) OVER o THEN -0.74 ELSE 1.0 END)::DOUBLE
+         * (CASE WHEN lag(neg, 3) OVER o THEN -0.74 ELSE 1.0 END)::DOUBLE AS turned
+  FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+h AS (
+  SELECT doc_id, sum((v + sign(v) * ((CASE WHEN loud THEN 0.733 ELSE 0 END)::DOUBLE + up)) * turned
+                     * (CASE WHEN turn = 0 OR i = turn THEN 1.0 WHEN i < turn THEN 0.5 ELSE 1.5 END)::DOUBLE) AS s
+  FROM g WHERE v IS NOT NULL GROUP BY 1
+),
+u AS (
+  SELECT doc_id, lang, coalesce(s, 0)::DOUBLE AS s, least(bangs, 4) * 0.292::DOUBLE
+         + (CASE WHEN asked <= 1 THEN 0 WHEN asked <= 3 THEN asked * 0.18 ELSE 0.96 END)::DOUBLE AS strength
+  FROM b1 LEFT JOIN h USING (doc_id)
+),
+t AS (SELECT doc_id, lang, s + sign(s) * strength AS s FROM u),
+q AS (SELECT doc_id, lang, s / sqrt(s * s + 15.0) AS compound FROM t)"""
 _CUT = """
 k AS (SELECT doc_id, text AS t FROM documents)"""
 
