@@ -41,40 +41,54 @@ def _as_array(df: DataFrame, col: str) -> Column:
     return vector_to_array(col) if isinstance(df.schema[col].dataType, VectorUDT) else F.col(col)
 
 
-def kmeans_themes(
+def kmeans_with_centres(
     df: DataFrame, id_col: str, features: str, k: int = 12, seed: int = 42, max_iter: int = 20, out: str = "theme",
-) -> DataFrame:
-    """Hard k-means assignment of every row; (id, theme).
+) -> tuple[DataFrame, DataFrame]:
+    """Hard k-means: (id, theme) of every row, and (theme, centre) of the fitted model.
 
     Features may be costly (an embedding call), so they are computed once: the fit and the
     assignment share a cache, and the narrow result is checkpointed before it is dropped.
+    The centres can be stored, serve ``assign_nearest`` for new cases and ``centre_keywords``.
     """
     checkpoint_folder(df.sparkSession)
     points = df.select(id_col, _as_vector(df, features).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol=out).fit(points)
-        return model.transform(points).select(id_col, out).checkpoint()
+        assigned = model.transform(points).select(id_col, out).checkpoint()
     finally:
         points.unpersist()
+    centres = [(theme, centre.tolist()) for theme, centre in enumerate(model.clusterCenters())]
+    return assigned, df.sparkSession.createDataFrame(centres, "theme int, centre array<double>")
+
+
+def kmeans_themes(
+    df: DataFrame, id_col: str, features: str, k: int = 12, seed: int = 42, max_iter: int = 20, out: str = "theme",
+) -> DataFrame:
+    """Hard k-means assignment of every row; (id, theme)."""
+    return kmeans_with_centres(df, id_col, features, k, seed, max_iter, out)[0]
 
 
 def hierarchical_themes(
     df: DataFrame, id_col: str, features: str, top_k: int = 5, sub_k: int = 4, min_sub: int = 50, seed: int = 42,
+    top: str | None = None,
 ) -> DataFrame:
     """Two levels: (id, theme_top, theme_sub_local, theme_sub_id).
 
+    ``top`` names a column of whole numbers that gives the first level; without it ``top_k`` themes are fitted.
     A top theme of n rows is split into min(sub_k, max(1, n // min_sub)) parts. The fits of
     the second level are independent distributed jobs and run side by side.
     """
     spark = df.sparkSession
     checkpoint_folder(spark)
-    points = df.select(id_col, _as_vector(df, features).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
+    given = [F.col(top).cast("int").alias("_c")] if top else []
+    points = df.select(id_col, _as_vector(df, features).alias("_v"), *given).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(data: DataFrame, k: int):
         return KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(data)
 
     try:
-        assigned = fit(points, top_k).transform(points).withColumnRenamed("_c", "theme_top")
+        first = points.filter(F.col("_c").isNotNull()) if top else fit(points, top_k).transform(points)
+        assigned = first.withColumnRenamed("_c", "theme_top")
         sizes = {r["theme_top"]: r["count"] for r in assigned.groupBy("theme_top").count().collect()}
         parts = {top: min(sub_k, max(1, n // min_sub)) for top, n in sorted(sizes.items())}
         split = [top for top, n in parts.items() if n > 1]
@@ -184,6 +198,12 @@ def theme_keywords(vectors: DataFrame, cluster: str, model: TfidfModel, features
     return keywords_from_weights(named, "theme", top_n)
 
 
+def centre_keywords(centres: DataFrame, model: TfidfModel, top_n: int = 10) -> DataFrame:
+    """(theme, keywords) from the centres of TF-IDF themes, which are the mean weights of their members; no text is read."""
+    entries = centres.select("theme", F.posexplode("centre").alias("idx", "weight")).filter(F.col("weight") > 0)
+    return keywords_from_weights(entries.join(F.broadcast(model.terms_table(centres)), "idx"), "theme", top_n)
+
+
 def keywords_from_weights(weights: DataFrame, theme: str, top_n: int) -> DataFrame:
     """Top terms per theme from (theme, term, weight); ties in term order."""
     order = W.partitionBy(theme).orderBy(F.desc(F.round("weight", 9)), "term")

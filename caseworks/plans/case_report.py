@@ -19,19 +19,21 @@ def case_report(
     """TF-IDF themes of all cases (no sampling) and the reports by theme, each a lazy DataFrame.
 
     The narrow case table with themes is stored once in the checkpoint folder and serves all
-    reports; texts are never shuffled.
+    reports; texts and their vectors are never shuffled. ``centres`` are those of the fitted model,
+    so new cases can be assigned to the same themes; the keywords come from them.
     """
     checkpoint_folder(cases.sparkSession)
     model = fit_tfidf(cases, text, min_df=min_df, max_features=max_features, stop_words=stop_words)
     vectors = model.transform(cases.select(id_col, text), text).drop(text)
-    assigned = themes.kmeans_themes(vectors, id_col, "features", k=k)
+    assigned, centres = themes.kmeans_with_centres(vectors, id_col, "features", k=k)
     themed = cases.select(id_col, contact, opened, hours).join(assigned, id_col).checkpoint()
-    keywords = themes.theme_keywords(vectors.join(assigned, id_col), "theme", model)
+    keywords = themes.centre_keywords(centres, model)
     scored = sentiment.lexicon_sentiment(cases, id_col, text, lexicon).join(assigned, id_col)
     history = contacts.repeat_contacts(themed, contact, opened, id_col)
     labels = keywords.withColumnRenamed("keywords", "label")
     return {
         "themes": assigned,
+        "centres": centres,
         "keywords": keywords,
         "sizes": themes.cluster_counts(assigned, "theme"),
         "sentiment": sentiment.sentiment_by_theme(

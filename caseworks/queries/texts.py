@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from caseworks.functions.text import STOP_WORDS
 from caseworks.functions.vectors import cosine_distance, l2_norm, l2_normalize
 from caseworks.operators import embedding, sentiment, themes
-from caseworks.operators.tfidf import fit_tfidf, tfidf
+from caseworks.operators.tfidf import fit_tfidf, tfidf, vector_entries
 from caseworks.plans.bounded import lookup_join
 from caseworks.queries.common import document_vectors, r6, table
 from caseworks.queries.records import STRIP, WORDS
 
-VOCABULARY = 500
+VOCABULARY = 20_000
 # A small valence list over frequent words of the test texts.
 LEXICON = [("the", 1.0), ("of", -1.5), ("and", 0.5), ("is", -2.0), ("de", -0.7), ("der", 0.9), ("que", -0.4), ("les", 1.2)]
 
@@ -102,18 +102,44 @@ def attach_labels(spark, sf):
     return themes.attach_labels(rows, named, "theme", ["vec_id"])
 
 
+def _sizes(assigned, key):
+    """Every row with the number of different themes, counted once."""
+    return assigned.withColumn("themes", F.lit(assigned.select("theme").distinct().count())).select(key, "theme", "themes")
+
+
 def kmeans_themes(spark, sf):
-    return themes.cluster_counts(themes.kmeans_themes(_vectors(spark, sf), "vec_id", "embedding", k=12), "theme")
+    """Is every vector in the theme whose centre is nearest, found anew from the centres?"""
+    rows = _vectors(spark, sf)
+    assigned, centres = themes.kmeans_with_centres(rows, "vec_id", "embedding", k=12)
+    nearest = themes.assign_nearest(rows, "vec_id", "embedding", centres, out="nearest")
+    both = _sizes(assigned, "vec_id").join(nearest, "vec_id")
+    return both.select("vec_id", (F.col("theme") == F.col("nearest")).alias("at_nearest"), "themes")
 
 
 def kmeans_tfidf(spark, sf):
+    """The same for themes of texts, the distances added up term by term."""
     docs = _docs(spark, sf)
-    vectors = fit_tfidf(docs, "text", max_features=VOCABULARY).transform(docs, "text")
-    return themes.cluster_counts(themes.kmeans_themes(vectors, "doc_id", "features", k=4), "theme")
+    vectors = fit_tfidf(docs, "text", max_features=VOCABULARY).transform(docs, "text").drop("text")
+    assigned, centres = themes.kmeans_with_centres(vectors, "doc_id", "features", k=4)
+    square = F.aggregate("centre", F.lit(0.0), lambda a, x: a + x * x)
+    entries = vectors.select("doc_id", F.explode_outer(vector_entries("features")).alias("e")).select("doc_id", "e.idx", "e.w")
+    weights = centres.select("theme", F.posexplode("centre").alias("idx", "c"))
+    by_term = weights.groupBy("idx").agg(F.map_from_entries(F.collect_list(F.struct("theme", "c"))).alias("m"))
+    norms = {r["theme"]: r["n"] for r in centres.select("theme", square.alias("n")).collect()}
+    dots = [F.coalesce(F.sum(F.col("w") * F.element_at("m", F.lit(t))), F.lit(0.0)).alias(f"d{t}") for t in sorted(norms)]
+    summed = entries.join(by_term, "idx", "left").groupBy("doc_id").agg(*dots)
+    distances = {t: F.lit(norms[t]) - 2 * F.col(f"d{t}") for t in norms}
+    own = F.element_at(F.map_from_arrays(F.array(*map(F.lit, norms)), F.array(*distances.values())), F.col("theme"))
+    both = _sizes(assigned, "doc_id").join(summed, "doc_id")
+    return both.select("doc_id", (own <= F.least(*distances.values()) + 1e-9).alias("at_nearest"), "themes")
 
 
 def hierarchical_themes(spark, sf):
-    return themes.sub_theme_counts(themes.hierarchical_themes(_vectors(spark, sf), "vec_id", "embedding"))
+    """Tickets and parts of every given theme."""
+    found = themes.hierarchical_themes(_vectors(spark, sf), "vec_id", "embedding", min_sub=12, top="label")
+    return found.groupBy("theme_top").agg(
+        F.count(F.lit(1)).alias("tickets"), F.countDistinct("theme_sub_id").alias("parts"), F.max("theme_sub_local").cast("long").alias("last_part")
+    )
 
 
 # Sentiment
@@ -184,9 +210,10 @@ def parse_embeddings(spark, sf):
     texts = F.to_json(F.struct(F.array(vec.cast("array<string>")).alias("embeddings")))
     label = F.col("label")
     payload = F.when(label < 3, listed).when(label < 6, typed).when(label < 9, keyed).otherwise(texts)
-    good, _ = embedding.split_payloads(_vectors(spark, sf).select("vec_id", payload.alias("payload")), "payload")
+    good, refused = embedding.split_payloads(_vectors(spark, sf).select("vec_id", payload.alias("payload")), "payload")
     flat = good.select("vec_id", F.posexplode(F.col("vectors")[0]).alias("pos", "value"))
-    return flat.withColumn("value", r6("value"))
+    nothing = refused.select("vec_id", F.lit(-1).alias("pos"), F.lit(None).cast("double").alias("value"))
+    return flat.withColumn("value", r6("value")).unionByName(nothing)
 
 
 def cosine_pairs(spark, sf):
@@ -381,9 +408,13 @@ SELECT theme, coalesce(label, '') AS label, count(*) AS tickets FROM p LEFT JOIN
 SELECT vec_id, theme, CASE WHEN theme >= 7 THEN 'Theme ' || theme WHEN theme = 3 THEN '(error: timeout)' ELSE 'Topic ' || n END AS label
 FROM (SELECT vec_id, label AS theme FROM embeddings) JOIN k USING (theme)""",
     ),
-    "kmeans_themes": (kmeans_themes, None),
-    "kmeans_tfidf": (kmeans_tfidf, None),
-    "hierarchical_themes": (hierarchical_themes, None),
+    "kmeans_themes": (kmeans_themes, "SELECT vec_id, true AS at_nearest, 12 AS themes FROM embeddings"),
+    "kmeans_tfidf": (kmeans_tfidf, "SELECT doc_id, true AS at_nearest, 4 AS themes FROM documents"),
+    "hierarchical_themes": (
+        hierarchical_themes,
+        """SELECT label AS theme_top, count(*) AS tickets, least(4, greatest(1, count(*) // 12)) AS parts,
+       least(4, greatest(1, count(*) // 12)) - 1 AS last_part FROM embeddings GROUP BY 1""",
+    ),
     "lexicon_sentiment": (
         lexicon_sentiment,
         f"WITH {_LEX} SELECT doc_id, round(compound, 6) AS compound, round(compound, 6) < -0.5 AS upset FROM q",
@@ -420,6 +451,6 @@ SELECT doc_id, CASE WHEN none THEN 'NEUTRAL' ELSE 'NEGATIVE' END AS sentiment_la
     "parse_embeddings": (
         parse_embeddings,
         "SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, round(unnest(embedding)::DOUBLE, 6) AS value "
-        "FROM embeddings WHERE label <> 9",
+        "FROM embeddings WHERE label <> 9 UNION ALL SELECT vec_id, -1, NULL FROM embeddings WHERE label = 9",
     ),
 }
