@@ -1,5 +1,5 @@
 """Registered queries: name -> (Spark query, equivalent SQL or None)."""
 
-from caseworks.queries import analytics, models, records, texts
+from caseworks.queries import analytics, exchange, models, records, texts
 
-REGISTRY = {**analytics.QUERIES, **records.QUERIES, **texts.QUERIES, **models.QUERIES}
+REGISTRY = {**analytics.QUERIES, **records.QUERIES, **texts.QUERIES, **models.QUERIES, **exchange.QUERIES}
