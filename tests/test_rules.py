@@ -354,3 +354,31 @@ def test_checks(spark):
     checks.require_same_keys(df, df.select("id"), "id")
     with pytest.raises(ValueError):
         checks.require_same_keys(df, df.filter("id = 1"), "id")
+
+
+def test_sentiment_rules(spark):
+    """Negation, boosters, capitals, contrast and signs, each against the sum worked out by hand."""
+    from caseworks.operators.sentiment import lexicon_sentiment
+
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], "token string, valence double")
+    texts = {
+        "a good day": 2.0,
+        "not so good": (2.0 + 0.293) * -0.74,
+        "very good": 2.293,
+        "very plain bad": -(2.0 + 0.95 * 0.293),
+        "slightly (bad)": -(2.0 - 0.293),
+        "a GOOD day": 2.733,
+        "GOOD": 2.0,
+        "good but bad": 0.5 * 2.0 - 1.5 * 2.0,
+        "good!!!!!!": 2.0 + 4 * 0.292,
+        "bad?? ": -(2.0 + 2 * 0.18),
+        "good????": 2.0 + 0.96,
+        "plain!": 0.0,
+        "": 0.0,
+    }
+    rows = [(n, t) for n, t in enumerate(texts)] + [(0, None), (0, "good")]
+    found = lexicon_sentiment(spark.createDataFrame(rows, "id int, text string"), "id", "text", lexicon).collect()
+    sums = [*texts.values(), 0.0, 2.0]
+    assert sorted((r["id"], round(r["compound"], 9)) for r in found) == sorted(
+        (n, round(s / (s * s + 15.0) ** 0.5, 9)) for (n, _), s in zip(rows, sums, strict=True)
+    )
