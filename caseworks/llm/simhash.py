@@ -47,14 +47,14 @@ BUCKET = 64
 PART = 1 << 15
 
 
-def text_fingerprint(text: str, shingle: int = 3) -> int:
-    """Fingerprint of one text as an unsigned integer."""
+def shingle_hashes(text: str, shingle: int = 3):
+    """Hashes of the shingles of one text in their order, as an array of unsigned integers; a shorter text is one shingle."""
     import numpy as np
     import xxhash
 
     parts = text.encode("utf-8").lower().split()  # bytes: only A-Z change, only the six ASCII gaps split
     if not parts:
-        return 0
+        return np.empty(0, "uint64")
     line = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), "int64", len(parts)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -62,7 +62,19 @@ def text_fingerprint(text: str, shingle: int = 3) -> int:
     n = len(parts) - k + 1
     spans = zip(starts[:n].tolist(), ends[k - 1 :].tolist(), strict=True)
     hash_of = xxhash.xxh64_intdigest
-    hashes = np.fromiter((hash_of(line[a:b], SEED) for a, b in spans), "uint64", n)
+    return np.fromiter((hash_of(line[a:b], SEED) for a, b in spans), "uint64", n)
+
+
+def text_fingerprint(text: str, shingle: int = 3) -> int:
+    """Fingerprint of one text as an unsigned integer."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(hashes) -> int:
+    """Fingerprint of a text with these shingle hashes; zero without any."""
+    import numpy as np
+
+    n = len(hashes)
     ones = np.zeros(64, "int64")
     for at in range(0, n, PART):
         block = hashes[at : at + PART].view("uint8").reshape(-1, 8)
@@ -168,17 +180,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how:
 
     Of rows equal in id and text one stays.
     """
-    key_id, key_text, fp = private(docs, "id", "hash", "fp")
+    key_id, key_text = private(docs, "id", "hash")
     keyed = docs.select(*row_key(id_col, text, [key_id, key_text]), named(text).alias("text"))
     rows = stored(fingerprints(keyed, "text", "fp", how.get("shingle", 3)), "fingerprints")
     key = F.struct(F.col(key_id).isNull().alias("none"), F.col(key_id).alias("id"), F.col(key_text).alias("hash"))
     first = stored(rows.groupBy("fp").agg(F.min(key).alias("first")), "different")
     links = fingerprint_links(first.select("fp"), how.get("max_bits", 2), how.get("bucket", BUCKET))
+    return keep_first(docs, first, links, id_col, text)
+
+
+def keep_first(docs: DataFrame, first: DataFrame, links: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``docs`` with the first row of each component of ``links``; ``first`` has the first row (none, id, hash) of each node ``fp``."""
+    names = key_id, key_text = private(docs, "id", "hash")
     roots = components(links)
     of = first.join(roots, first["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
     winners = of.groupBy("root").agg(F.min("first").alias("first"))
     chosen = winners.select(F.col("first.id").alias(key_id), F.col("first.hash").alias(key_text))
-    names = [key_id, key_text]
     full = docs.withColumns(dict(zip(names, row_key(id_col, text, names), strict=True)))
     kept = full.join(chosen, same_key(full, chosen, names), "left_semi")
     return kept.dropDuplicates(names).drop(*names)

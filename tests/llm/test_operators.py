@@ -6,12 +6,13 @@ import zlib
 from collections import Counter
 from itertools import combinations
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from caseworks.llm import byte_bpe, decontamination, line_dedup, quality_gam, quality_rules, secrets, simhash, token_files, toxicity, warc
+from caseworks.llm import byte_bpe, decontamination, line_dedup, near_copies, quality_gam, quality_rules, secrets, simhash, token_files, toxicity, warc
 from caseworks.llm.links import components
 from caseworks.llm.queries import END_ID, RANKS, WORD_BPE
 
@@ -136,6 +137,31 @@ def test_near_duplicates(docs, empty):
     assert simhash.near_duplicates(empty).count() == simhash.keep_one(empty).count() == 0
 
 
+def test_edited_copies(spark, docs, empty):
+    rng = random.Random(3)
+    texts = []
+    for size in (40, 120, 400):
+        for _ in range(4):
+            base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            for k in range(8):
+                words = list(base)
+                for _ in range(k * size // 200):
+                    words[rng.randrange(size)] = f"n{rng.randrange(10**6)}"
+                texts.append(" ".join(words))
+    rng.shuffle(texts)
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    pairs = [(a, b) for a, b in combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    prints = [simhash.text_fingerprint(t) for t in texts]
+    assert any((prints[a] ^ prints[b]).bit_count() > 5 for a, b in pairs)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, rows, "").collect()]
+    assert sorted(kept) == sorted(set(brute_components(pairs, range(len(texts))).values()))
+    kept = near_copies.keep_one(docs)
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert kept.columns == docs.columns and sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 8, 9, 10] and None in ids
+    assert near_copies.keep_one(empty).count() == 0
+
+
 def test_secrets(docs, empty):
     rows = {r["doc_id"]: r for r in secrets.scan(docs).collect()}
     assert [s["kind"] for s in rows[8]["base"]] == ["assign", "access", "hex"] and not rows[8]["entropy"]
