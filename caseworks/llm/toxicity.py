@@ -3,7 +3,9 @@
 **Lexicon.** A short list of abusive English words, and what the labelled sample
 teaches: words and word stems whose presence goes with the label far beyond
 chance, counting copies of a document once. Each term gets a probability from the sample, apart for exact, stem and
-misspelled matches, so a term that ordinary words resemble loses its tolerance.
+misspelled matches, so a term that ordinary words resemble loses its tolerance. A
+learned term whose misspellings the sample doesn't hold starts from its own
+probability, at a discount.
 
 **Matching.** Terms are the paths of a trie. A word is run through the
 intersection of the trie with the Levenshtein automata of all terms (no
@@ -48,6 +50,8 @@ SAMPLE, TERMS = 8_000, 600
 #: Abusive words to start with, and the documents each counts for until labels say more.
 SEEDS = "idiot moron stupid imbecile scum loser trash worthless pathetic disgusting clown dumbass bastard asshole retard vermin".split()
 SEED_WEIGHT = 6.0
+#: A misspelling's share of the probability of the term itself, and the documents this counts for with learned terms.
+NEAR_SHARE, NEAR_WEIGHT = 0.85, 2.0
 #: Fewest toxic documents of a learned term, its least share of toxic ones, and the shortest and longest stems.
 LEAST_DOCS, LEAST_SHARE, STEMS = 4, 0.6, range(3, 8)
 WINDOW, NEAR = 12, 3
@@ -314,6 +318,12 @@ def _chosen(found: list, total: int, toxic: int, features: int) -> tuple[list[st
     return plain, kept
 
 
+def near_chance(toxic: int, docs: int, exact: float) -> float:
+    """Probability of a misspelled learned term; below ``DOUBTFUL`` only where the sample holds false ones."""
+    value = (toxic + NEAR_WEIGHT * NEAR_SHARE * exact) / (docs + NEAR_WEIGHT)
+    return value if toxic < docs else max(value, DOUBTFUL)
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1,
     id_col: str = "doc_id", text: str = "text", rows: int = SAMPLE,
@@ -345,7 +355,9 @@ def learn(
         for term in lexicon.terms:
             a, n = seen.get((kind, term), (0, 0))
             own = SEED_WEIGHT * (term in SEEDS)
-            lexicon.chance[kind, term] = (a + own * (0.97 if kind == "exact" else 0.85) + base) / (n + own + 1)
+            lexicon.chance[kind, term] = (a + own * (0.97 if kind == "exact" else NEAR_SHARE) + base) / (n + own + 1)
+            if kind == "near" and not own and lexicon.chance["exact", term] >= DOUBTFUL:
+                lexicon.chance[kind, term] = near_chance(a, n, lexicon.chance["exact", term])
     for stem in lexicon.stems:
         a, n = seen.get(("stem", stem), (0, 0))
         lexicon.chance["stem", stem] = (a + base) / (n + 1)

@@ -351,6 +351,17 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.learn(empty, labels.limit(0)).terms
 
 
+def test_new_misspellings_of_learned_terms(spark):
+    rows = [(i, " ".join(f"q{k}x{i}" for k in range(40)) + (" zanglefrump" if i % 4 == 0 else " nothing"), int(i % 4 == 0)) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), folds=10)
+    assert "zanglefrump" in lexicon.terms
+    matcher = toxicity.Matcher(lexicon)
+    assert matcher.look("zanglefrmup") == ("near", "zanglefrump")
+    assert toxicity.text_score("a zanglefrmup", matcher, lexicon) >= toxicity.DOUBTFUL
+    assert toxicity.near_chance(0, 0, 0.55) >= toxicity.DOUBTFUL > toxicity.near_chance(0, 2, 0.95)
+
+
 def test_quality_gam(spark, docs, empty):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 14))
