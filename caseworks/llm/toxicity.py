@@ -3,14 +3,15 @@
 **Lexicon.** A short list of abusive English words, and what the labelled sample
 teaches: words and word stems whose presence goes with the label far beyond
 chance, counting copies of a document once. Each term gets a probability from the sample, apart for exact, stem and
-misspelled matches, so a term that ordinary words resemble loses its tolerance. A
+misspelled matches, with the first letter right or not, so a term that ordinary words resemble loses its tolerance. A
 learned term whose misspellings the sample doesn't hold starts from its own
 probability, at a discount.
 
 **Matching.** Terms are the paths of a trie. A word is run through the
 intersection of the trie with the Levenshtein automata of all terms (no
-difference up to four letters, one up to seven, two beyond; the first letter must
-be right; a swap of neighbours is one difference). Its states, sets of trie nodes
+difference up to four letters, one up to seven, two beyond; a swap of neighbours is
+one difference). Words that differ at the first letter are a kind of match of their
+own, tried after those that don't. Its states, sets of trie nodes
 with the differences spent, are made when a word first needs them and kept, so a
 known letter costs one lookup and most words die after a few. Digits and signs
 that stand for letters are read as letters first.
@@ -85,11 +86,13 @@ class Automaton:
     """The intersection of a trie of terms with their Levenshtein automata, made as words need it.
 
     A state is a set of (node, differences spent, letter held back by a swap).
+    Only with ``front`` may the first letter differ.
     """
 
-    def __init__(self, terms: Iterable[str]):
+    def __init__(self, terms: Iterable[str], front: bool = False):
+        terms = set(terms)
         self.children: list[dict[str, int]] = [{}]
-        self.budget = [0]
+        self.budget = [max(map(tolerance, terms), default=0) if front else 0]
         self.ends: dict[int, str] = {}
         for term in sorted(set(terms)):
             node = 0
@@ -108,7 +111,7 @@ class Automaton:
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.dead = self.state(frozenset())
-        self.start = self.state(frozenset({(0, 0, "")}))
+        self.start = self.state(self.closed({(0, 0, "")}))
 
     def state(self, items: frozenset) -> int:
         if items not in self.number:
@@ -183,6 +186,7 @@ class Matcher:
 
     def __init__(self, lexicon: Lexicon):
         self.automaton = Automaton(t for t in lexicon.terms if not lexicon.chance or ("near", t) in lexicon.chance)
+        self.front = Automaton((t for t in lexicon.terms if not lexicon.chance or ("front", t) in lexicon.chance), front=True)
         self.terms, self.stems = frozenset(lexicon.terms), frozenset(lexicon.stems)
         self.lengths = sorted({len(s) for s in self.stems})
         self.known: dict[str, tuple[str, str] | None] = {}
@@ -197,7 +201,10 @@ class Matcher:
             if n < len(word) and word[:n] in self.stems:
                 return "stem", word[:n]
         near = self.automaton.match(word)
-        return ("near", near[0]) if near else None
+        if near:
+            return "near", near[0]
+        front = self.front.match(word)
+        return ("front", front[0]) if front else None
 
     def hits(self, parts: list[str]) -> list[tuple[int, str, str]]:
         """(place, kind, term) of the words of a text that match."""
@@ -351,12 +358,12 @@ def learn(
 
     seen = {(r["kind"], r["term"]): (r["toxic"], r["docs"]) for r in _counts(_emit(sample, matches)).collect()}
     base = (toxic + 1) / (total + 10)
-    for kind in ("exact", "near"):
+    for kind in ("exact", "near", "front"):
         for term in lexicon.terms:
             a, n = seen.get((kind, term), (0, 0))
             own = SEED_WEIGHT * (term in SEEDS)
             lexicon.chance[kind, term] = (a + own * (0.97 if kind == "exact" else NEAR_SHARE) + base) / (n + own + 1)
-            if kind == "near" and not own and lexicon.chance["exact", term] >= DOUBTFUL:
+            if kind != "exact" and not own and lexicon.chance["exact", term] >= DOUBTFUL:
                 lexicon.chance[kind, term] = near_chance(a, n, lexicon.chance["exact", term])
     for stem in lexicon.stems:
         a, n = seen.get(("stem", stem), (0, 0))

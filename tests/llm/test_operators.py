@@ -335,6 +335,23 @@ def test_automaton_equals_distances():
         assert automaton.match(word) == (min(near)[::-1] if near else None), word
 
 
+def test_automaton_at_the_first_letter():
+    terms = ["idiot", "moron", "worthless", "scum", "pathetic", "clown"]
+    automaton = toxicity.Automaton(terms, front=True)
+    rng = random.Random(4)
+    for _ in range(3000):
+        word = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choices("abcdeilort", k=rng.randint(0, 1))
+        word = "".join(word)
+        near = [(distance(word, t), t) for t in terms if distance(word, t) <= toxicity.tolerance(t)]
+        assert automaton.match(word) == (min(near)[::-1] if near else None), word
+    matcher = toxicity.Matcher(toxicity.Lexicon(tuple(terms)))
+    for word, term in (("odiot", "idiot"), ("diot", "idiot"), ("diiot", "idiot"), ("xidiot", "idiot"), ("athetic", "pathetic")):
+        assert matcher.look(word) == ("front", term)
+
+
 def test_toxicity(spark, docs, empty):
     labels = spark.createDataFrame([(1, 0), (2, 0), (6, None), (None, 1)], "doc_id long, toxic int")
     lexicon = toxicity.learn(docs, labels)
