@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from caseworks.llm import (
     byte_bpe,
     decontamination,
+    fill_middle,
+    language,
     line_dedup,
+    orchard,
     quality_gam,
     quality_rules,
     secrets,
@@ -142,6 +145,93 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    made = fill_middle.transform(documents(spark, sf))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS mark
+  FROM documents
+),
+c AS (
+  SELECT *, CAST(len(parts) - 1 AS BIGINT) AS breaks, CAST(len(parts) - (parts[-1] = '')::INT AS BIGINT) AS n,
+         ('0x' || mark[1:8])::BIGINT AS h1, ('0x' || mark[9:16])::BIGINT AS h2, ('0x' || mark[25:32])::BIGINT AS h4
+  FROM t
+),
+p AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM c),
+u AS (SELECT *, list_transform(parts, lambda x, i : CASE WHEN i <= breaks THEN x || chr(10) ELSE x END) AS units FROM p),
+s AS (
+  SELECT doc_id, n, text, h4, array_to_string(units[1:a], '') AS prefix,
+         array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') AS plain
+  FROM u
+)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars, CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+       sha256(CASE WHEN plain THEN text WHEN h4 % 100 < 50 THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM s"""
+
+
+def op12_orchard(spark: SparkSession, sf: str) -> DataFrame:
+    return orchard.clusters(table(spark, sf, "embeddings"))
+
+
+def _op12_sql(k: int = 8, rounds: int = 10, dims: int = 64, seed: int = 3) -> str:
+    """The rounds written out one after the other, every vector measured against every centroid."""
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda v : CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda v : v IS NULL OR NOT isfinite(v))) = 0
+),
+v AS MATERIALIZED (SELECT row, unnest(range({dims})) AS place, unnest(x) AS value FROM kept),
+m0 AS MATERIALIZED (
+  SELECT c, unnest(range({dims})) AS place, unnest(x) AS value
+  FROM (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS c, x FROM kept
+        QUALIFY c < {k})
+)"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT row, min_by(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT row, c, sum((v.value - m{n}.value) * (v.value - m{n}.value)) AS d FROM v JOIN m{n} USING (place) GROUP BY row, c)
+  GROUP BY row
+)""")
+        if n < rounds:
+            steps.append(f"""
+m{n + 1} AS MATERIALIZED (
+  SELECT m.c, m.place, coalesce((s.total - ((s.total % s.n) + s.n) % s.n) // s.n, m.value) AS value
+  FROM m{n} m LEFT JOIN (SELECT c, place, sum(value) AS total, count(*) AS n FROM v JOIN a{n} USING (row) GROUP BY c, place) s
+    ON m.c = s.c AND m.place = s.place
+)""")
+    final = f"m{rounds}", f"a{rounds}"
+    return f"""
+WITH {",".join(steps)},
+marks AS (SELECT c, sha256(string_agg(CAST(value AS VARCHAR), ',' ORDER BY place)) AS mark FROM {final[0]} GROUP BY c)
+SELECT kept.vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, mark AS centroid_sha256
+FROM {final[1]} JOIN kept USING (row) JOIN marks USING (c)"""
+
+
+def op13_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs.select("doc_id", "text"), language.train(docs))
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "runner_up", "ambiguous")
+
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_decontamination": (op2_decontamination, None),
@@ -153,4 +243,7 @@ QUERIES = {
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op10_byte_bpe": (op10_byte_bpe, None),
+    "op11_fill_middle": (op11_fill_middle, OP11_SQL),
+    "op12_orchard": (op12_orchard, _op12_sql()),
+    "op13_language": (op13_language, None),
 }
