@@ -2,7 +2,8 @@
 
 Every learned language has a codeword of +1 and -1; every place of it is a two-class question ("is the language one of these?")
 that a classifier on character n-grams answers with a margin. All classifiers are trained from one table of n-gram
-counts by language: the margin of a text is the mean over its n-grams of the smoothed log-odds of the two sides, scaled so that margins
+counts by language: the margin of a text is the mean over its n-grams
+(and ``DOUBT`` more without an opinion) of the smoothed log-odds of the two sides, scaled so that margins
 are log-odds on texts that did not take part in the counts. The codeword with the smallest weighted logistic loss wins, a place weighing the more the
 fewer errors its classifier makes there. A text whose two best codewords are nearly as close is flagged.
 
@@ -12,8 +13,8 @@ codewords differ most.
 n-grams: lower-cased runs of letters (with their combining marks), a blank on either side, all stretches of 1 to ``LONGEST`` characters,
 hashed to ``BUCKETS`` places.
 
-The sample has ``ROWS`` texts of each language at most, chosen by a hash of the id among rows outside the held-out fold whose language
-is not null; a fifth of it sets scales and weights, the rest is counted. It is counted by Spark tasks; (languages x ``BUCKETS``) numbers reach the driver,
+The sample has ``ROWS`` texts of each language at most, chosen by a hash of the id without sorting a language, among rows outside the held-out fold whose language
+is not null (of rows repeated with one id, the least text); a fifth of it sets scales and weights, the rest is counted. It is counted by Spark tasks; (languages x ``BUCKETS``) numbers reach the driver,
 texts never do. Predictions read whole texts of all rows, in Arrow batches, each text on its own.
 
 Texts that are null or have no letter are ``und`` with score 0, as is everything if no language was learned; with one language
@@ -29,18 +30,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseworks.llm.common import map_batches, named, with_field
 from caseworks.llm.sampling import fold_of
+from caseworks.plans.selection import mark_smallest
 
 UNKNOWN = "und"
 ROWS, LONGEST, BUCKETS = 1_000, 4, 1 << 15
 #: Languages an exhaustive code is made for, random places per bit of information beyond, draws, and the largest number of languages.
 EXHAUSTIVE, PLACES, DRAWS, MOST = 7, 15, 100, 256
 SMOOTHING = 0.5
+#: n-grams of no opinion added to every text, so that a few letters are no firm evidence.
+DOUBT = 40
 #: Characters hashed at a time.
 PART = 1 << 18
 #: A score below this is flagged as ambiguous.
@@ -110,7 +114,7 @@ class Model:
     def margins(self, counts: np.ndarray) -> np.ndarray:
         """Margin of each place for the n-gram counts of one text."""
         held = np.flatnonzero(counts)
-        mean = counts[held] @ self.odds[held] / counts.sum()
+        mean = counts[held] @ self.odds[held] / (counts.sum() + DOUBT)
         return mean * self.scale + self.offset
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
@@ -135,10 +139,10 @@ def _sample(docs: DataFrame, folds: int, held_out: int, rows: int, id_col: str,
     """(lang, checked, text) of the sample; ``checked`` marks the fifth that sets scales and weights."""
     key, name = named(id_col).alias("id"), named(lang).cast("string").alias("lang")
     known = docs.select(key, name).filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold_of(F.col("id"), folds) != held_out))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = known.distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
-    texts = docs.select(key, name, named(text).alias("text"))
-    return texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", (F.col("place") % 5 == 0).alias("checked"), "text")
+    marked = mark_smallest(known.distinct(), ["lang"], "id", 13, lambda n: F.least(n, F.lit(rows)))
+    texts = docs.select(key, name, named(text).alias("text")).join(F.broadcast(marked.filter("picked").select("id", "lang")), ["id", "lang"])
+    checked = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
+    return texts.groupBy("lang", "id").agg(F.min("text").alias("text")).select("lang", checked.alias("checked"), "text")
 
 
 def _counted(sample: DataFrame, languages: list[str]) -> np.ndarray:
