@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import math
 import time
+import uuid
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -14,7 +15,6 @@ from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
-    OneVsRest,
     OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from caseworks.operators.boosting import SoftmaxTreesModel, fit_softmax_trees
+from caseworks.operators.linear import LinearModel, fit_one_vs_rest, vector_size
 from caseworks.operators.features import (
     FeatureRouting,
     featurize,
@@ -35,6 +36,8 @@ from caseworks.operators.features import (
 from caseworks.plans.bounded import bounded_rows, lookup_join
 
 MAX_CLASSES = 100_000
+#: Models with a format of their own.
+OWN_MODELS = {m.__name__: m for m in (SoftmaxTreesModel, LinearModel)}
 LOADERS = {
     "OneVsRestModel": OneVsRestModel,
     "LogisticRegressionModel": LogisticRegressionModel,
@@ -47,7 +50,7 @@ class Classifier:
     """A fitted model with what scoring needs: target, feature routing and class names."""
 
     target: str
-    model: Model | SoftmaxTreesModel
+    model: Model | SoftmaxTreesModel | LinearModel
     labels: list[str]
     routing: FeatureRouting
     variant: str = "values"
@@ -64,7 +67,7 @@ class Classifier:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Folder with ``model``, ``features`` and ``labels``."""
-        if isinstance(self.model, SoftmaxTreesModel):
+        if type(self.model).__name__ in OWN_MODELS:
             self.model.save(spark, f"{path}/model")
         else:
             self.model.write().overwrite().save(f"{path}/model")
@@ -87,8 +90,8 @@ class Classifier:
     def load(spark: SparkSession, path: str) -> Classifier:
         meta = json.loads(spark.read.text(f"{path}/features").first()[0])
         labels = [r["label"] for r in bounded_rows(spark.read.parquet(f"{path}/labels").orderBy("index"), MAX_CLASSES)]
-        if meta["class"] == SoftmaxTreesModel.__name__:
-            model = SoftmaxTreesModel.load(spark, f"{path}/model")
+        if meta["class"] in OWN_MODELS:
+            model = OWN_MODELS[meta["class"]].load(spark, f"{path}/model")
         else:
             model = LOADERS[meta["class"]].load(f"{path}/model")
         routing = FeatureRouting(**meta["routing"])
@@ -97,18 +100,20 @@ class Classifier:
         return Classifier(meta["target"], model, labels, routing, meta["variant"], meta["facts"], encoders)
 
 
-def train_linear(train: DataFrame, reg: float = 1e-4, max_iter: int = 20, one_vs_rest: bool = True, parallelism: int = 4) -> Model:
-    """Logistic loss with L2 penalty on (label, features); one-vs-rest, or one multinomial fit."""
-    base = LogisticRegression(regParam=reg, maxIter=max_iter)
-    if one_vs_rest:
-        return OneVsRest(classifier=base, parallelism=parallelism).fit(train)
-    return base.fit(train)
+def train_linear(train: DataFrame, reg: float = 1e-4, max_iter: int = 20, one_vs_rest: bool = True) -> Model | LinearModel:
+    """Logistic loss with L2 penalty on (label, features); one-vs-rest, all classes in each pass, or one multinomial fit."""
+    if not one_vs_rest:
+        return LogisticRegression(regParam=reg, maxIter=max_iter).fit(train)
+    facts = train.agg(F.max("label").alias("last"), F.max(vector_size(F.col("features"))).alias("width")).first()
+    if facts["last"] is None:
+        raise ValueError("no training rows")
+    return fit_one_vs_rest(train, int(facts["last"]) + 1, facts["width"], reg, max_iter)
 
 
 def train_trees(
     train: DataFrame, val: DataFrame | None = None, rounds: int = 200, depth: int = 6, eta: float = 0.2,
     subsample: float = 1.0, columns: float = 1.0, early_stop: int | None = None, tolerance: float = 0.0,
-    seed: int = 42, parallelism: int = 8,
+    seed: int = 42,
 ) -> SoftmaxTreesModel:
     """Boosted trees under the softmax loss, whatever the number of classes.
 
@@ -123,7 +128,7 @@ def train_trees(
         raise ValueError("no training rows")
     total = sum(held.values()) + max(held) + 1
     priors = [math.log((held.get(k, 0) + 1) / total) for k in range(max(held) + 1)]
-    return fit_softmax_trees(train, priors, val, rounds, depth, eta, subsample, columns, early_stop, tolerance, seed, parallelism)
+    return fit_softmax_trees(train, priors, val, rounds, depth, eta, subsample, columns, early_stop, tolerance, seed)
 
 
 def train_forest(train: DataFrame, trees: int = 200, depth: int = 6, subsample: float = 1.0, seed: int = 42) -> Model:
@@ -136,33 +141,64 @@ def holdout_accuracy(model: Model, val: DataFrame) -> float | None:
     return model.transform(val).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
 
 
+def within(spark: SparkSession, run: Callable[[], object], seconds: float) -> object:
+    """``run()``; its Spark jobs are cancelled and TimeoutError raised once ``seconds`` have passed.
+
+    The jobs carry a tag of their own, so others go on. Jobs that ``run`` starts after the limit are cancelled too.
+    """
+    context, tag = spark.sparkContext, f"within-{uuid.uuid4().hex}"
+
+    def tagged() -> object:
+        context.addJobTag(tag)
+        return run()
+
+    with ThreadPoolExecutor(1) as pool:
+        future = pool.submit(inheritable_thread_target(spark)(tagged))
+        late = False
+        left = seconds
+        while True:
+            done, _ = wait([future], timeout=max(left, 0.0))
+            if done:
+                break
+            late, left = True, 0.2
+            context.cancelJobsWithTag(tag)
+    if late:
+        raise TimeoutError(f"ended after {seconds:g} seconds")
+    return future.result()
+
+
 def search_best(
     train: DataFrame, val: DataFrame, candidates: Sequence[tuple[str, Callable[[DataFrame], Model]]],
     max_candidates: int = 10, max_seconds: float = 3600.0, max_seconds_each: float = 600.0,
 ) -> tuple[Model, list[tuple[str, str, float | None, float, str | None]]]:
     """Fit candidates in order until a budget ends and keep the one most accurate on ``val``.
 
-    Returns the model and one (candidate, status, accuracy, seconds, error) row per
-    candidate. One over its own budget is kept in the report but not chosen; those the
-    budgets leave out are reported as ``NotTried``.
+    A fit that reaches its own limit, or the end of the whole budget, is ended there (its jobs are cancelled) and reported as
+    ``OverBudget``. Returns the model and one (candidate, status, accuracy, seconds, error) row per candidate; those the budgets leave
+    out are reported as ``NotTried``.
     """
     best, best_score, report = None, -1.0, []
-    start = time.monotonic()
+    spark, start = train.sparkSession, time.monotonic()
     train, val = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, val))
+
+    def tried(fit: Callable[[DataFrame], Model]) -> tuple[Model, float | None]:
+        model = fit(train)
+        return model, holdout_accuracy(model, val)
+
     try:
         for number, (name, fit) in enumerate(candidates):
-            if number >= max_candidates or time.monotonic() - start > max_seconds:
+            began = time.monotonic()
+            left = max_seconds - (began - start)
+            if number >= max_candidates or left <= 0:
                 report.append((name, "NotTried", None, 0.0, None))
                 continue
-            began = time.monotonic()
             try:
-                model = fit(train)
-                score = holdout_accuracy(model, val)
-                took = time.monotonic() - began
-                late = took > max_seconds_each
-                report.append((name, "OverBudget" if late else "Completed", score, took, None))
-                if not late and (score or 0.0) > best_score:
+                model, score = within(spark, lambda: tried(fit), min(left, max_seconds_each))
+                report.append((name, "Completed", score, time.monotonic() - began, None))
+                if (score or 0.0) > best_score:
                     best, best_score = model, score or 0.0
+            except TimeoutError as exc:
+                report.append((name, "OverBudget", None, time.monotonic() - began, str(exc)))
             except Exception as exc:
                 report.append((name, "Failed", None, time.monotonic() - began, f"{type(exc).__name__}: {exc}"[:2000]))
     finally:

@@ -52,8 +52,8 @@ def train_linear(spark, sf):
 
 
 def train_trees(spark, sf):
-    with _train_val(spark, sf, 256) as (train, val):
-        model = training.train_trees(train, val, rounds=5, depth=4, early_stop=3)
+    with _train_val(spark, sf) as (train, val):
+        model = training.train_trees(train, val, rounds=200, depth=6, early_stop=5, tolerance=0.02)
         return _report(spark, val, [("trees", "Completed", training.holdout_accuracy(model, val))])
 
 
@@ -68,6 +68,43 @@ def search_best(spark, sf):
         return _report(spark, val, [(name, status, score) for name, status, score, _, _ in report])
 
 
+def _part_words(spark, sf, trainer):
+    """The last word of a part's name, learned from its words and type in 2,000 buckets; the predictions of all parts."""
+    words = F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("size"), "p_size"))
+    parts = table(spark, sf, "part").select("p_partkey", words.alias("line_text"), F.element_at(F.split("p_name", " "), -1).alias("kind"))
+    split = splits.split_support_aware(parts, "p_partkey", ["line_text"], ["kind"])
+    routing = FeatureRouting(text=["line_text"])
+    models, report = training.train_all_targets(split, "p_partkey", ["kind"], routing, trainer, variant="words")
+    if not models:
+        raise RuntimeError(f"not trained: {report}")
+    return scoring.score(parts, models["kind"]).select("p_partkey", "prediction", F.size("probabilities").alias("classes"))
+
+
+def train_trees_parts(spark, sf):
+    return _part_words(spark, sf, lambda train, val: training.train_trees(train, rounds=200, depth=6))
+
+
+def train_linear_parts(spark, sf):
+    return _part_words(spark, sf, lambda train, val: training.train_linear(train))
+
+
+def train_trees_lines(spark, sf):
+    """Four kinds of order lines that follow from quantity, discount and tax together; the predictions of all lines."""
+    kind = F.when((F.col("l_quantity") > 30) & (F.col("l_discount") > 0.055), "bulk deal").when(
+        (F.col("l_quantity") > 30) & (F.col("l_tax") > 0.045), "bulk taxed"
+    )
+    kind = kind.when((F.col("l_quantity") <= 12) & (F.col("l_discount") <= 0.025), "small full").otherwise("plain")
+    columns = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+    lines = table(spark, sf, "lineitem").select("l_orderkey", *columns, kind.alias("kind"))
+    lines = lines.withColumn("line_id", F.concat_ws("-", "l_orderkey", "l_linenumber", F.xxhash64(*columns)))
+    split = splits.split_support_aware(lines, "line_id", columns, ["kind"])
+    trainer = lambda train, val: training.train_trees(train, rounds=12, depth=6, eta=0.4)
+    models, report = training.train_all_targets(split, "line_id", ["kind"], FeatureRouting(numeric=columns), trainer)
+    if not models:
+        raise RuntimeError(f"not trained: {report}")
+    return scoring.score(lines, models["kind"]).groupBy("l_orderkey", "l_linenumber", "prediction").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def train_trees_nations(spark, sf):
     """Boosted trees with a class per nation, learnable from the nation's number; the predictions of all customers."""
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -75,7 +112,7 @@ def train_trees_nations(spark, sf):
     rows = rows.select("c_custkey", "c_nationkey", "n_name")
     split = splits.split_support_aware(rows, "c_custkey", ["c_nationkey"], ["n_name"])
     routing = FeatureRouting(numeric=["c_nationkey"])
-    trainer = lambda train, val: training.train_trees(train, rounds=2, depth=5, eta=0.5)
+    trainer = lambda train, val: training.train_trees(train, rounds=200, depth=6)
     models, report = training.train_all_targets(split, "c_custkey", ["n_name"], routing, trainer)
     if not models:
         raise RuntimeError(f"not trained: {report}")
@@ -362,6 +399,21 @@ QUERIES = {
     "train_linear": (train_linear, _trained_sql("linear")),
     "train_trees": (train_trees, _trained_sql("trees")),
     "search_best": (search_best, _trained_sql("multinomial", "penalised", untried=("beyond the limit",))),
+    "train_trees_parts": (
+        train_trees_parts,
+        "SELECT p_partkey, split_part(p_name, ' ', -1) AS prediction, CAST((SELECT count(DISTINCT split_part(p_name, ' ', -1)) FROM part) AS INTEGER) AS classes FROM part",
+    ),
+    "train_linear_parts": (
+        train_linear_parts,
+        "SELECT p_partkey, split_part(p_name, ' ', -1) AS prediction, CAST((SELECT count(DISTINCT split_part(p_name, ' ', -1)) FROM part) AS INTEGER) AS classes FROM part",
+    ),
+    "train_trees_lines": (
+        train_trees_lines,
+        """SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_quantity > 30 AND l_discount > 0.055 THEN 'bulk deal' WHEN l_quantity > 30 AND l_tax > 0.045 THEN 'bulk taxed'
+            WHEN l_quantity <= 12 AND l_discount <= 0.025 THEN 'small full' ELSE 'plain' END AS prediction, count(*) AS lines
+FROM lineitem GROUP BY ALL""",
+    ),
     "train_trees_nations": (
         train_trees_nations,
         """SELECT c_custkey, n_name AS prediction, CAST((SELECT count(DISTINCT c_nationkey) FROM customer) AS INTEGER) AS classes, true AS is_best

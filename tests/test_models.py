@@ -1,5 +1,7 @@
 """Models: learnable data, save and load, dispatch, search, the full run, clustering."""
 
+import time
+
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -148,6 +150,24 @@ def test_search_keeps_the_best_within_budget(lines):
         training.search_best(train, val, [("broken", broken)])
 
 
+def test_search_ends_what_is_over_budget(lines):
+    train, val = _matrix(lines, "dept")
+    naps = []
+
+    def slow(data):
+        nap = lambda rows: (time.sleep(60) or r for r in rows)
+        for _ in range(3):
+            naps.append(time.monotonic())
+            data.rdd.mapPartitions(nap).count()
+
+    quick = ("quick", lambda d: training.train_linear(d, one_vs_rest=False))
+    began = time.monotonic()
+    model, report = training.search_best(train, val, [("slow", slow), quick, ("slow again", slow), quick], max_seconds=25, max_seconds_each=3)
+    assert time.monotonic() - began < 40 and len(naps) == 2
+    assert [r[:2] for r in report] == [("slow", "OverBudget"), ("quick", "Completed"), ("slow again", "OverBudget"), ("quick", "Completed")]
+    assert training.holdout_accuracy(model, val) > 0.95
+
+
 def test_train_evaluate_register(spark, lines, tmp_path):
     noisy = lines.withColumn("noise", F.concat(F.lit("n"), F.pmod(F.xxhash64("id", F.lit(9)), F.lit(7))))
     models, summary = train_evaluate_register(noisy, "id", COLUMNS, ["dept", "noise"], "acme", str(tmp_path))
