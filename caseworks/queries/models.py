@@ -81,7 +81,7 @@ def _part_words(spark, sf, trainer):
 
 
 def train_trees_parts(spark, sf):
-    return _part_words(spark, sf, lambda train, val: training.train_trees(train, rounds=200, depth=6))
+    return _part_words(spark, sf, lambda train, val: training.train_trees(train, val, rounds=200, depth=6, early_stop=10, tolerance=0.01))
 
 
 def train_linear_parts(spark, sf):
@@ -112,7 +112,7 @@ def train_trees_nations(spark, sf):
     rows = rows.select("c_custkey", "c_nationkey", "n_name")
     split = splits.split_support_aware(rows, "c_custkey", ["c_nationkey"], ["n_name"])
     routing = FeatureRouting(numeric=["c_nationkey"])
-    trainer = lambda train, val: training.train_trees(train, rounds=200, depth=6)
+    trainer = lambda train, val: training.train_trees(train, val, rounds=200, depth=6, early_stop=10, tolerance=0.01)
     models, report = training.train_all_targets(split, "c_custkey", ["n_name"], routing, trainer)
     if not models:
         raise RuntimeError(f"not trained: {report}")

@@ -152,18 +152,17 @@ def test_best_split_tries_every_cut():
             full_h[f][z] += total_h - full_h[f].sum()
         g, h = (np.concatenate(w).astype(float) for w in (full_g, full_h))
         g[zero] = h[zero] = 0
-        best = (1e-9, -1, 0)
+        best, place = 1e-9, (-1, 0)
         for f in range(7):
             for c in range(lengths[f] - 1):
                 lg, lh = full_g[f][: c + 1].sum(), full_h[f][: c + 1].sum()
                 rg, rh, ridge = total_g - lg, total_h - lh, RIDGE * STEPS
                 if min(lh, rh) >= LEAST_CURVE * STEPS:
                     gain = (lg**2 / (lh + ridge) + rg**2 / (rh + ridge) - total_g**2 / (total_h + ridge)) / STEPS
-                    best = max(best, (gain, -f, -c)) if best[1] != -1 or gain > best[0] else best
-                    if best[1] == -1 and gain > 1e-9:
-                        best = (gain, -f, -c)
+                    if gain > best:
+                        best, place = gain, (f, c)
         found = best_split(g, h, starts, zero, total_g, total_h, np.ones(7, bool))
-        assert found[1:3] == (-best[1] if best[1] != -1 or found[1] != -1 else -1, -best[2]) or abs(found[0] - best[0]) < 1e-9
+        assert found[1:3] == place
 
 
 def test_vectors_of_both_kinds():
