@@ -6,20 +6,24 @@ together find every aligned stretch of ``WINDOW`` = 15 tokens in which at most 3
 differ, wherever they lie (shown by enumeration in the tests); 12 of 15 is a
 similarity of 0.8.
 
-**Join.** Seeds of the items are joined with the seeds at all places of all
-documents. Items are taken in blocks of bounded size: each block is broadcast,
+**Short items.** An item of 7 to 14 tokens may differ in one token, from 10 on in two. It is cut into one part more than that, and
+the first three tokens of each part are a seed: one part is whole. An item of fewer tokens is one seed, the whole run, if it has at least
+``LEAST_CHARS`` letters and digits; shorter ones can't be told from ordinary phrases and are not looked for.
+Documents get these seeds only if there are such items.
+
+**Join.** Documents are cut into chunks of ``CHUNK`` tokens, with as many tokens on either side as a stretch that a seed of the chunk lies in
+can reach, so a text of any length takes time in proportion to it. Seeds of the items are joined with the seeds at all places of all
+chunks. Items are taken in blocks of bounded size: each block is broadcast,
 and all rows are held against it, so any number of items works and no document is
-shuffled. A seed that several items share is one row with the list of its places.
+shuffled. A seed carries its item's number and the tokens around it that a stretch can reach, not the whole item. A seed that several items share is one row with the list of its places.
 
 **Verification.** A hit fixes the alignment of item and document. The hashes of
-the item's tokens are compared place by place with the document's tokens they are
+the item's tokens around the seed are compared place by place with the document's tokens they are
 aligned with, and the best stretch of ``WINDOW`` tokens (the whole item if it is
 shorter) counts. A stretch with ``similarity`` or more equal tokens is an overlap.
 Only (document, item, equal, length) goes on to the aggregate.
 
-Null and empty texts have no overlap. Items with fewer than ``SHORTEST`` tokens have
-none either: they cannot be told from ordinary phrases. For items between that and
-15 tokens the seeds find most, not all, of the tolerated differences. Documents are told apart by id and text: rows equal in both
+Null and empty texts have no overlap. Documents are told apart by id and text: rows equal in both
 are one document, whose overlaps come once. Null ids are kept. No items or no
 documents give no overlaps; other columns play no part.
 """
@@ -37,44 +41,94 @@ WINDOW = 15
 SIMILARITY = 0.8
 #: Places of a seed's five tokens; the first is the place of the seed.
 MASKS = ((0, 1, 2, 3, 5), (0, 1, 4, 5, 6))
-SHORTEST = max(m[-1] for m in MASKS) + 1
-#: Seeds of one block of items, which bounds what is broadcast (32 MB at some 64 bytes a seed and its item's share).
-BLOCK_SEEDS = 500_000
+#: Fewest tokens of items with room for differences, tokens of a seed of those below ``WINDOW``, and fewest letters and digits of shorter ones.
+SHORTEST, PART, LEAST_CHARS = 7, 3, 16
+#: Tokens of a document's chunk, and seeds of one block of items, which bounds what is broadcast (some 350 bytes a seed).
+CHUNK, BLOCK_SEEDS = 256, 100_000
 
 
 def token_hashes(text: Column) -> Column:
     """Hashes of a text's lower-case tokens."""
-    tokens = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
-    return F.transform(tokens, lambda t: F.xxhash64(t))
+    return F.transform(_tokens(text), lambda t: F.xxhash64(t))
 
 
-def _seeds_at(tokens: Column, place: Column, size: Column) -> list[Column]:
-    """Seeds of all masks at a place (null where the mask reaches beyond the text)."""
-    found = []
-    for number, mask in enumerate(MASKS):
-        seed = F.xxhash64(F.lit(number), *[F.get(tokens, place + F.lit(o)) for o in mask])
-        found.append(F.when(place + F.lit(mask[-1]) < size, seed))
-    return found
+def _tokens(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def item_seeds(items: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(item, tokens, at, seed): each seed of each item with its place."""
-    hashed = items.select(named(id_col).alias("item"), token_hashes(named(text)).alias("tokens")).distinct()
-    long = hashed.withColumn("n", F.size("tokens")).filter(F.col("n") >= SHORTEST).select(
-        "item", "tokens", F.posexplode(F.transform("tokens", lambda _, i: F.array(*_seeds_at(F.col("tokens"), i, F.col("n"))))).alias("at", "seeds")
-    )
-    return long.select("item", "tokens", "at", F.explode("seeds").alias("seed")).filter(F.col("seed").isNotNull())
+def _seed(tokens: Column, place: Column, number: int, mask: tuple[int, ...]) -> Column:
+    """Seed of a mask at a place; null where it reaches beyond the tokens."""
+    seed = F.xxhash64(F.lit(number), *[F.get(tokens, place + F.lit(o)) for o in mask])
+    return F.when(place + F.lit(mask[-1]) < F.size(tokens), seed)
 
 
-def best_stretch(equal: Column, window: int) -> Column:
-    """(equal, length) of the stretch of ``window`` flags (0/1) with most ones; all of them if there are fewer."""
-    length = F.least(F.size(equal), F.lit(window))
+def _masks(lengths: set[int]) -> dict[int, tuple[int, ...]]:
+    """Masks by number that documents need for items of these lengths."""
+    found = dict(enumerate(MASKS)) if any(n >= WINDOW for n in lengths) else {}
+    if any(SHORTEST <= n < WINDOW for n in lengths):
+        found[100] = tuple(range(PART))
+    return found | {100 + PART + n: tuple(range(n)) for n in sorted(lengths) if n < SHORTEST}
+
+
+def hashed_items(items: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(item, tokens, n) of the items that are looked for."""
+    tokens = _tokens(named(text))
+    rows = items.select(named(id_col).alias("item"), tokens.alias("words"))
+    known = (F.size("words") >= SHORTEST) | (F.char_length(F.array_join("words", "")) >= LEAST_CHARS)
+    return rows.filter(known).select("item", F.transform("words", lambda t: F.xxhash64(t)).alias("tokens")).distinct().withColumn("n", F.size("tokens"))
+
+
+def item_seeds(hashed: DataFrame, masks: dict[int, tuple[int, ...]], window: int, similarity: float) -> DataFrame:
+    """(seed, item, n, from_, at, around): each seed of each item, its place, and the item's tokens around it from place ``from_`` on."""
+    tokens, n = F.col("tokens"), F.col("n")
+
+    def entry(place: Column, number: int) -> Column:
+        first = F.greatest(place - (window - 1), F.lit(0))
+        until = F.least(n, place + masks[number][-1] + window)
+        around = F.slice(tokens, first + 1, until - first)
+        return F.struct(_seed(tokens, place, number, masks[number]).alias("seed"), first.alias("from_"), place.alias("at"), around.alias("around"))
+
+    def at_places(places: Column, numbers: list[int]) -> Column:
+        if not numbers:
+            return F.array().cast(NO_ENTRY)
+        return F.flatten(F.transform(places, lambda p: F.array(*[entry(p, k) for k in numbers])))
+
+    room = (n - F.ceil(n * F.lit(similarity)) + 1).cast("int")
+    starts = F.transform(F.sequence(F.lit(0), room - 1), lambda k: F.floor(k * n / room).cast("int"))
+    found = F.when(n >= WINDOW, at_places(F.sequence(F.lit(0), n - 1), [k for k in masks if k < 100]))
+    if 100 in masks:
+        found = found.when(n >= SHORTEST, at_places(starts, [100]))
+    for length in range(1, SHORTEST):
+        if 100 + PART + length in masks:
+            found = found.when(n == length, at_places(F.array(F.lit(0)), [100 + PART + length]))
+    return hashed.select("item", "n", F.inline(found)).filter(F.col("seed").isNotNull())
+
+
+NO_ENTRY = "array<struct<seed:bigint,from_:int,at:int,around:array<bigint>>>"
+
+
+def chunks(docs: DataFrame, names: list[str], window: int) -> DataFrame:
+    """(names, tokens, lead, core): chunks of the documents' tokens; ``lead`` tokens stand before the ``core`` ones."""
+    n = F.size("tokens")
+    margin = window - 1
+
+    def chunk(start: Column) -> Column:
+        lead = F.least(start, F.lit(margin))
+        core = F.least(n - start, F.lit(CHUNK))
+        return F.struct(F.slice("tokens", start - lead + 1, lead + core + 6 + margin).alias("tokens"), lead.alias("lead"), core.alias("core"))
+
+    cut = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, F.lit(CHUNK)), chunk))
+    return docs.select(*names, F.inline(cut))
+
+
+def best_stretch(equal: Column, length: Column) -> Column:
+    """(equal, length) of the stretch of ``length`` flags (0/1) with most ones."""
 
     def count(flags: Column) -> Column:
         start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("i"))
 
         def step(state: Column, flag: Column) -> Column:
-            leaving = F.coalesce(F.when(state["i"] >= window, F.get(flags, state["i"] - window)), F.lit(0))
+            leaving = F.coalesce(F.when(state["i"] >= length, F.get(flags, state["i"] - length)), F.lit(0))
             now = state["now"] + flag - leaving
             return F.struct(now.alias("now"), F.greatest(state["best"], now).alias("best"), (state["i"] + 1).alias("i"))
 
@@ -83,18 +137,18 @@ def best_stretch(equal: Column, window: int) -> Column:
     return F.struct(let(equal, count).alias("equal"), length.alias("length"))
 
 
-def _block_hits(docs: DataFrame, seeds: DataFrame, window: int, names: list[str]) -> DataFrame:
+def _block_hits(parts: DataFrame, seeds: DataFrame, masks: dict[int, tuple[int, ...]], window: int, names: list[str]) -> DataFrame:
     """Verified alignments of one block of items: the best stretch of each hit."""
-    held = seeds.groupBy("seed").agg(F.collect_list(F.struct("item", "tokens", "at")).alias("places"))
-    places = F.transform(
-        "tokens", lambda _, i: F.array(*_seeds_at(F.col("tokens"), i, F.col("n")))
-    )
-    marked = docs.withColumn("n", F.size("tokens")).select(*names, "tokens", F.posexplode(places).alias("place", "seeds"))
-    seeded = marked.select(*names, "tokens", "place", F.explode("seeds").alias("seed"))
+    held = seeds.groupBy("seed").agg(F.collect_list(F.struct("item", "n", "from_", "at", "around")).alias("places"))
+    at = F.sequence(F.col("lead"), F.col("lead") + F.col("core") - 1)
+    marks = F.transform(at, lambda p: F.array(*[_seed(F.col("tokens"), p, k, mask) for k, mask in masks.items()]))
+    marked = parts.select(*names, "tokens", "lead", F.posexplode(marks).alias("step", "seeds"))
+    seeded = marked.select(*names, "tokens", (F.col("lead") + F.col("step")).alias("place"), F.explode("seeds").alias("seed"))
     hit = seeded.join(F.broadcast(held), "seed").select(*names, F.col("tokens").alias("own"), "place", F.explode("places").alias("hit"))
-    first = F.col("place") - F.col("hit.at")  # where the item's first token would stand
-    flags = F.transform("hit.tokens", lambda t, i: F.when(first + i >= 0, (F.get("own", first + i) == t).cast("int")).otherwise(0))
-    scored = hit.select(*names, F.col("hit.item").alias("item"), best_stretch(F.transform(flags, lambda f: F.coalesce(f, F.lit(0))), window).alias("best"))
+    first = F.col("place") - F.col("hit.at") + F.col("hit.from_")  # where the first of the tokens around the seed would stand
+    flags = F.transform("hit.around", lambda t, i: F.when(first + i >= 0, (F.get("own", first + i) == t).cast("int")).otherwise(0))
+    flags = F.transform(flags, lambda f: F.coalesce(f, F.lit(0)))
+    scored = hit.select(*names, F.col("hit.item").alias("item"), best_stretch(flags, F.least("hit.n", F.lit(window))).alias("best"))
     return scored.select(*names, "item", "best.equal", "best.length")
 
 
@@ -116,12 +170,14 @@ def overlaps(
     """
     names = ["doc_id", "text_hash"]
     hashed = docs.select(*row_key(id_col, text, names), token_hashes(named(text)).alias("tokens"))
-    seeds = item_seeds(items, item_id, item_text)
-    size = seeds.count()
-    blocks = max(1, -(-size // block))
-    parts = [
-        _block_hits(hashed, seeds.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b), window, names) for b in range(blocks)
-    ]
+    looked_for = hashed_items(items, item_id, item_text)
+    lengths = {r["n"] for r in looked_for.select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect()}
+    masks = _masks(lengths) or dict(enumerate(MASKS))
+    seeds = item_seeds(looked_for, masks, window, similarity)
+    blocks = max(1, -(-seeds.count() // block))
+    pieces = chunks(hashed, names, window)
+    of_block = F.pmod(F.xxhash64("item", "at"), F.lit(blocks))
+    parts = [_block_hits(pieces, seeds.filter(of_block == b), masks, window, names) for b in range(blocks)]
     found = reduce(DataFrame.union, parts).filter(F.col("equal") >= F.ceil(F.col("length") * F.lit(similarity)))
     best = found.groupBy(*names, "item").agg(F.max(F.struct("equal", "length")).alias("best"))
     return best.select(*names, F.col("item").alias("item_id"), "best.equal", "best.length")

@@ -1,22 +1,20 @@
-"""Quality rules with cutoffs whose false rejections are bounded, in DataFrame functions only.
+"""Quality rules with cutoffs whose joint false rejections are bounded, in DataFrame functions only.
 
 A fixed base (too few words, too many repeated five-word windows) rejects first.
 On top of it the method chooses cutoffs for a few measures from labelled documents:
 
-* Labelled good documents are split into strata, here by length. In each stratum
-  every measure has a fixed ladder of cutoffs, from lenient to strict.
-* A cutoff is safe if the exact binomial bound says so: were its false rejection
-  rate above ``alpha``, as few rejections as were seen would have had a probability
-  of at most ``delta`` / (strata x measures). Dividing by the number of ladders
-  corrects for choosing several cutoffs (Bonferroni).
-* Within a ladder cutoffs are tested in order and the last before the first that
-  fails is taken (fixed-sequence testing needs no further correction). If the
-  first one fails, the measure rejects nothing in that stratum.
-
-The false rejection rate of each cutoff among good documents of its stratum is so
-at most ``alpha``, for all cutoffs at once with probability 1 - ``delta``. Strata
-and ladders are fixed lists, so the cutoffs are a few dozen numbers whatever the
-size of the input. All labelled rows count.
+* Labelled documents are split into strata, here by length, and each stratum in two halves by a hash of the id.
+  Every measure has a fixed ladder of cutoffs, from lenient to strict.
+* The first half proposes a path: one cutoff after the other is tightened, always the one that rejects most bad documents for the good
+  ones it costs. Every step of the path rejects what the steps before it reject, and more.
+* The second half walks the path. A step, all cutoffs of it together, is safe if the exact binomial bound says so: were the share of good documents of the
+  stratum that it rejects above ``alpha``, as few rejections as were seen would have had a probability of at most ``delta`` / strata (Bonferroni).
+  The walk ends at the first step that fails (fixed-sequence testing needs no further correction); the one before it is taken.
+
+So the share of good documents of each stratum that all measures together reject is at
+most ``alpha``, in all strata at once with probability 1 - ``delta``. Some 220 good documents of the second half are needed in a stratum before any
+step can be safe. Documents of either half are counted by stratum and by the steps of the ladders they exceed, a table bounded
+by the ladders whatever the size of the input. All labelled rows count.
 
 Null and empty texts have no words and fail the base. Rows are judged one by one,
 so ties and repeats are judged alike. A document labelled several times counts as
@@ -131,55 +129,76 @@ def measures() -> dict[str, Column]:
     }
 
 
-def _log_tail(n: Column, k: Column, p: float) -> Column:
-    """Logarithm of P(X <= k) for X binomial (n, p), summed term by term from the most likely end downwards.
+def log_tail(n: int, k: int, p: float) -> float:
+    """Logarithm of P(X <= k) for X binomial (n, p) with k below n p, summed from the k-th term downwards until terms no longer count."""
+    top = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    total, term, i = 1.0, 1.0, k
+    while i > 0 and term > 1e-17 * total:
+        term *= i * (1 - p) / ((n - i + 1) * p)
+        total += term
+        i -= 1
+    return top + math.log(total)
 
-    Terms are taken relative to the k-th, each a factor of the one above; below
-    n p they fall, so the sum is stable and stops mattering after a few hundred.
-    """
-    odds = math.log1p(-p) - math.log(p)
-    zero = F.struct(F.lit(0.0).alias("log"), F.lit(1.0).alias("sum"))
 
-    def down(state: Column, i: Column) -> Column:
-        log = state["log"] + F.log(i.cast("double")) - F.log((n - i + 1).cast("double")) + F.lit(odds)
-        return F.struct(log.alias("log"), (state["sum"] + F.exp(log)).alias("sum"))
+def _levels() -> list[Column]:
+    """For each measure how many cutoffs of its ladder a document does not exceed: it is rejected from that step on."""
+    found = []
+    for name, value in measures().items():
+        found.append(sum((value <= F.lit(cut)).cast("int") for cut in LADDERS[name]).alias(name))
+    return found
 
-    falling = F.when(k > 0, F.reverse(F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1).cast("long"))))).otherwise(F.array().cast("array<bigint>"))
-    relative = F.aggregate(falling, zero, down)
 
-    def up(state: Column, i: Column) -> Column:
-        return state + F.log((n - i + 1).cast("double")) - F.log(i.cast("double"))
+def proposed_path(rows: list[Row]) -> list[str]:
+    """Measures in the order in which their cutoffs are tightened by one step, from counted documents (levels, y, docs).
 
-    climbing = F.when(k > 0, F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1).cast("long")))).otherwise(F.array().cast("array<bigint>"))
-    choose = F.aggregate(climbing, F.lit(0.0), up)
-    top = choose + k * math.log(p) + (n - k) * math.log1p(-p)
-    return top + F.log(relative["sum"])
+    Each turn tightens one measure by as many steps as pay best; the path ends when no step rejects a bad document any more.
+    """
+    reached = dict.fromkeys(LADDERS, 0)
+    left, path = list(rows), []
+    while True:
+        turns = []
+        for name, cuts in LADDERS.items():
+            for until in range(reached[name] + 1, len(cuts) + 1):
+                good, bad = (sum(r["docs"] for r in left if r["y"] == y and r[name] < until) for y in (1, 0))
+                if bad:
+                    turns.append(((bad + 1) / (good + 1), -good, reached[name] - until, name, until))
+        if not turns:
+            return path
+        *_, name, until = max(turns)
+        path += [name] * (until - reached[name])
+        reached[name] = until
+        left = [r for r in left if r[name] >= until]
+
+
+def safe_steps(path: list[str], rows: list[Row], alpha: float, delta: float) -> dict[str, int]:
+    """Steps taken on each ladder at the last safe point of ``path``, from counted good documents (levels, docs)."""
+    reached = dict.fromkeys(LADDERS, 0)
+    n = sum(r["docs"] for r in rows)
+    left, gone = list(rows), 0
+    for name in path:
+        hit = [r for r in left if r[name] <= reached[name]]
+        gone += sum(r["docs"] for r in hit)
+        if gone >= n * alpha or log_tail(n, gone, alpha) > math.log(delta):
+            break
+        left = [r for r in left if r[name] > reached[name]]
+        reached[name] += 1
+    return reached
 
 
 def calibrate(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """(stratum, measure, cutoff): the safe cutoff of each ladder that has one, from the labelled rows of ``counts``."""
-    good = labels.filter(named(label) == 1).select(named(id_col).alias("doc_id")).distinct()
-    held = counts.join(good, "doc_id", "left_semi").filter(~base_failed())
-    ladders = len(LADDERS) * (len(STRATA) + 1)
-    rejections = [
-        F.sum((value > F.lit(cut)).cast("long")).alias(f"{name}:{step}")
-        for name, value in measures().items()
-        for step, cut in enumerate(LADDERS[name])
-    ]
-    wide = held.groupBy(stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *rejections)
-    entries = [
-        F.struct(F.lit(name).alias("measure"), F.lit(step).alias("step"), F.lit(cut).alias("cutoff"), F.col(f"{name}:{step}").alias("k"))
-        for name, cuts in LADDERS.items()
-        for step, cut in enumerate(cuts)
-    ]
-    tested = wide.select("stratum", "n", F.inline(F.array(*entries)))
-    beyond = F.when(F.col("k") >= F.col("n") * F.lit(alpha), F.lit(True)).otherwise(
-        _log_tail(F.col("n"), F.col("k"), alpha) > math.log(delta / ladders)
-    )
-    judged = tested.withColumn("failed", beyond)
-    first = judged.groupBy("stratum", "measure").agg(F.min(F.when(F.col("failed"), F.col("step"))).alias("stop"), F.max_by("cutoff", "step").alias("strictest"))
-    steps = judged.join(first, ["stratum", "measure"]).filter(F.col("step") < F.coalesce("stop", F.lit(1 << 20)))
-    return steps.groupBy("stratum", "measure").agg(F.max_by("cutoff", "step").alias("cutoff"))
+    known = labels.filter(named(label).isNotNull()).groupBy(named(id_col).alias("doc_id")).agg(F.max(named(label).cast("int")).alias("y"))
+    held = counts.join(known, "doc_id").filter(~base_failed())
+    proof = (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("proof")
+    table = held.select(stratum().alias("stratum"), proof, F.when(F.col("y") == 1, 1).otherwise(0).alias("y"), *_levels())
+    rows = table.groupBy(*table.columns).agg(F.count(F.lit(1)).alias("docs")).collect()
+    found = []
+    for number in range(len(STRATA) + 1):
+        own = [r for r in rows if r["stratum"] == number]
+        path = proposed_path([r for r in own if not r["proof"]])
+        steps = safe_steps(path, [r for r in own if r["proof"] and r["y"] == 1], alpha, delta / (len(STRATA) + 1))
+        found += [(number, name, LADDERS[name][step - 1]) for name, step in steps.items() if step]
+    return counts.sparkSession.createDataFrame(found, "stratum int, measure string, cutoff double")
 
 
 def verdict(counts: DataFrame, cutoffs: list[Row]) -> DataFrame:

@@ -10,9 +10,11 @@ base64 characters) a window of ``WINDOW`` characters moves over the parts of the
 candidate that consist of the class. Its Shannon entropy is kept up to date from
 the counts of the character that enters and the one that leaves. Windows
 above the class's limit that hold a digit and a letter mark their characters; marks
-that touch make one span of kind ``entropy``. The allow-list suppresses spans that
-match a known harmless shape, and a span that meets a base span is dropped, so
-that base spans stay as they are.
+that touch make one span of kind ``entropy``.
+
+**Allow-list.** Candidates and spans that as a whole have a known harmless shape are suppressed. A word such as "example"
+speaks for the letters and digits around it only: its run of them, up to ``REACH`` characters either side, is cut out of the candidate, and so
+are base spans, before windows move over what is left. So base spans stay as they are, and a secret beside either is found.
 
 Null and empty texts have no spans. Whole texts are scanned, whatever their
 length. Rows are independent; ties, repeats and empty tables need no rule. Other
@@ -49,13 +51,16 @@ CLASSES = {
     "alnum": (re.compile(rf"[0-9A-Za-z]{{{WINDOW},}}"), 3.6),
     "base64": (re.compile(rf"[0-9A-Za-z+/_=-]{{{WINDOW},}}"), 3.9),
 }
-#: Harmless shapes: UUIDs, dates and versions, plain paths and identifiers, examples.
+#: Harmless shapes: UUIDs, dates and versions, plain paths and identifiers.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9T_-]*",
     r"([A-Za-z]+[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}",
-    r"(?i).*(example|sample|placeholder|changeme|xxxx).*",
 )
+#: Words of examples, and how far in a run of letters and digits they reach.
+HARMLESS = "example|sample|placeholder|changeme|xxxx"
+REACH = 40
+PIECE = re.compile(r"[A-Za-z0-9]+")
 SPAN = T.ArrayType(
     T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 )
@@ -103,29 +108,56 @@ def high_windows(run: str, limit: float, window: int = WINDOW) -> list[tuple[int
     return marks
 
 
+def left_over(start: int, end: int, blocked: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of ``start`` to ``end`` outside ``blocked``."""
+    parts = []
+    for a, b in sorted(blocked):
+        if start < a < end:
+            parts.append((start, a))
+        start = max(start, b)
+    return [*parts, (start, end)] if start < end else parts
+
+
+def harmless_parts(text: str, start: int, end: int, words: re.Pattern) -> list[tuple[int, int]]:
+    """Letters and digits around harmless words between ``start`` and ``end``."""
+    found = []
+    for word in words.finditer(text, start, end):
+        low, high = max(start, word.start() - REACH), min(end, word.end() + REACH)
+        piece = next(p for p in PIECE.finditer(text, low, high) if p.end() > word.start())
+        found.append(piece.span())
+    return found
+
+
 def entropy_spans(
-    text: str, taken: Sequence[tuple[str, int, int]], allowed: Sequence[re.Pattern] = tuple(map(re.compile, ALLOWED))
+    text: str, taken: Sequence[tuple[str, int, int]], allowed: Sequence[re.Pattern] = tuple(map(re.compile, ALLOWED)),
+    harmless: re.Pattern = re.compile(HARMLESS, re.IGNORECASE),
 ) -> list[tuple[str, int, int]]:
-    """Spans of high entropy that meet none of ``taken`` and no allowed shape."""
+    """Spans of high entropy outside ``taken``, of no allowed shape and away from harmless words."""
     marks: list[tuple[int, int]] = []
     for candidate in CANDIDATE.finditer(text):
         word = candidate[0]
         if word.isalpha() or word.isdigit() or any(shape.fullmatch(word) for shape in allowed):
             continue
-        for shape, limit in CLASSES.values():
-            for run in shape.finditer(word):
-                base = candidate.start() + run.start()
-                marks += [(base + a, base + b) for a, b in high_windows(run[0], limit)]
+        first, last = candidate.span()
+        blocked = [(a, b) for _, a, b in taken if a < last and first < b] + harmless_parts(text, first, last, harmless)
+        for low, high in left_over(first, last, blocked) if blocked else [(first, last)]:
+            part = text[low:high]
+            if len(part) < WINDOW or (blocked and any(shape.fullmatch(part) for shape in allowed)):
+                continue
+            for shape, limit in CLASSES.values():
+                for run in shape.finditer(part):
+                    base = low + run.start()
+                    marks += [(base + a, base + b) for a, b in high_windows(run[0], limit)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(marks):
+        # Parts on either side of a cut don't touch: something stands between them.
         if merged and a <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
             merged.append((a, b))
     spans = []
     for a, b in merged:
-        meets = any(start < b and a < end for _, start, end in taken)
-        if not meets and not any(shape.fullmatch(text[a:b]) for shape in allowed):
+        if not any(shape.fullmatch(text[a:b]) for shape in allowed):
             spans.append(("entropy", a, b))
     return spans
 

@@ -43,6 +43,8 @@ from caseworks.llm.links import components
 SEED = 42
 SEGMENT = 32
 BUCKET = 64
+#: Filed signatures of one task.
+FILED = 1 << 20
 #: Hashes counted at a time; a longer text is counted in several parts.
 PART = 1 << 15
 
@@ -131,7 +133,9 @@ def fingerprint_links(different: DataFrame, max_bits: int = 2, bucket: int = BUC
         raise ValueError("max_bits is 0, 1 or 2")
     if max_bits == 0:
         return different.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    filed = _signatures(different)
+    # A few bytes a row in the file, but 66 rows each once filed: dealt out by what they become.
+    tasks = -(-66 * different.count() // FILED)
+    filed = _signatures(different.repartition(tasks, "fp") if tasks > 1 else different)
     sizes = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     met = stored(spread_lookup(filed, sizes, "key", "fp").filter(F.col("n").isNotNull()), "buckets")
     pairs = met.filter(F.col("n") <= bucket).select("key", "bit", "fp")

@@ -21,8 +21,8 @@ and less if a verb of reporting is near; one next to a second-person pronoun or
 another term counts more. The score is 1 minus the product of the terms' doubts and
 of the share of labelled documents without any term that are toxic all the same.
 
-The sample is bounded (``SAMPLE`` labelled rows, by a hash of the id); so is the
-lexicon (``TERMS``). Scoring covers all documents and whole texts.
+The sample is bounded (``SAMPLE`` labelled rows, by a hash of the id), and with it the
+lexicon; two thirds of it choose words, the rest must not speak against them. Scoring covers all documents and whole texts.
 
 Null and empty texts have no term and get the lowest score. Rows are scored one by
 one; ties and repeats score alike. Without labelled rows the short list alone
@@ -47,7 +47,9 @@ from pyspark.sql import types as T
 from caseworks.llm.common import map_batches, stored, with_field
 from caseworks.llm.sampling import labelled_sample
 
-SAMPLE, TERMS = 8_000, 600
+SAMPLE = 8_000
+#: Factors of the orders in which documents are sketched.
+SKETCHES = (1, 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 #: Abusive words to start with, and the documents each counts for until labels say more.
 SEEDS = "idiot moron stupid imbecile scum loser trash worthless pathetic disgusting clown dumbass bastard asshole retard vermin".split()
 SEED_WEIGHT = 6.0
@@ -186,6 +188,8 @@ class Matcher:
 
     def __init__(self, lexicon: Lexicon):
         self.automaton = Automaton(t for t in lexicon.terms if not lexicon.chance or ("near", t) in lexicon.chance)
+        # Words like a term but for letters after the first are no match at the front, also where that tolerance was lost.
+        self.guard = Automaton(lexicon.terms)
         self.front = Automaton((t for t in lexicon.terms if not lexicon.chance or ("front", t) in lexicon.chance), front=True)
         self.terms, self.stems = frozenset(lexicon.terms), frozenset(lexicon.stems)
         self.lengths = sorted({len(s) for s in self.stems})
@@ -203,7 +207,7 @@ class Matcher:
         near = self.automaton.match(word)
         if near:
             return "near", near[0]
-        front = self.front.match(word)
+        front = None if self.guard.match(word) else self.front.match(word)
         return ("front", front[0]) if front else None
 
     def hits(self, parts: list[str]) -> list[tuple[int, str, str]]:
@@ -260,13 +264,14 @@ def text_score(text: str, matcher: Matcher, lexicon: Lexicon) -> float:
     return 1 - doubt
 
 
-def least_hash(text: str) -> int:
-    """The smallest hash of a text's words: near-copies mostly share it, other texts seldom do."""
-    return min((zlib.crc32(w.encode()) for w in set(text.split())), default=0)
+def least_hashes(text: str) -> list[int]:
+    """The smallest of a text's word hashes in ``SKETCHES`` orders: near-copies share one of them nearly always, other texts seldom do."""
+    hashes = [zlib.crc32(w.encode()) for w in set(text.split())] or [0]
+    return [min((h * factor) & 0xFFFFFFFF for h in hashes) for factor in SKETCHES]
 
 
-def _emit(rows: DataFrame, of_text, schema: str = "kind string, term string, y int, sketch long") -> DataFrame:
-    """(kind, term, y, sketch): the different findings of each labelled text, and its least hash."""
+def _emit(rows: DataFrame, of_text, schema: str = "kind string, term string, y int, sketch array<long>") -> DataFrame:
+    """(kind, term, y, sketch): the different findings of each labelled text, and its least hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = of_text()
@@ -277,7 +282,7 @@ def _emit(rows: DataFrame, of_text, schema: str = "kind string, term string, y i
                 if found:
                     kinds, terms = zip(*found, strict=True)
                     labels = pa.array([y.as_py()] * len(found), pa.int32())
-                    sketch = pa.array([least_hash(value)] * len(found), pa.int64())
+                    sketch = pa.array([least_hashes(value)] * len(found), pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(terms), labels, sketch], names=["kind", "term", "y", "sketch"])
 
     return rows.select("text", "y").mapInArrow(run, schema)
@@ -292,10 +297,17 @@ def _words_and_stems():
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """Toxic documents of each finding, those that aren't copies of one another, and all its documents."""
+    """Toxic and all documents of each finding, by part of the sample.
+
+    ``apart`` counts the toxic documents that aren't copies of one another: the least number of different hashes in any of the orders. Copies
+    share a part, and the third of the sample that is not chosen from gives ``proof_toxic`` and ``proof_docs``.
+    """
+    proof = F.col("sketch")[0] % 3 == 0
+    sets = [F.size(F.collect_set(F.when((F.col("y") == 1) & ~proof, F.col("sketch")[k]))) for k in range(len(SKETCHES))]
     return rows.groupBy("kind", "term").agg(
-        F.sum("y").alias("toxic"), F.countDistinct(F.when(F.col("y") == 1, F.col("sketch"))).alias("apart"), F.count(F.lit(1)).alias("docs")
-    )
+        F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("docs"), F.least(*sets).alias("apart"),
+        F.coalesce(F.sum(F.when(proof, F.col("y"))), F.lit(0)).alias("proof_toxic"), F.count_if(proof).alias("proof_docs"),
+    )
 
 
 def _chosen(found: list, total: int, toxic: int, features: int) -> tuple[list[str], list[str]]:
@@ -303,11 +315,15 @@ def _chosen(found: list, total: int, toxic: int, features: int) -> tuple[list[st
     base = toxic / total
 
     def evidence(r) -> float:
-        a, n = r["apart"], r["docs"] - r["toxic"] + r["apart"]
+        clean = r["docs"] - r["proof_docs"] - (r["toxic"] - r["proof_toxic"])
+        a, n = r["apart"], clean + r["apart"]
         share = a / n
         return a * math.log(share / base) + ((n - a) * math.log((1 - share) / (1 - base)) if n > a else 0.0)
 
-    strong = [r for r in found if r["toxic"] / r["docs"] >= LEAST_SHARE and evidence(r) >= math.log(max(2, features)) + 1]
+    def proven(r) -> bool:
+        return r["toxic"] / r["docs"] >= LEAST_SHARE and r["proof_toxic"] >= LEAST_SHARE * r["proof_docs"]
+
+    strong = [r for r in found if proven(r) and evidence(r) >= math.log(max(2, features)) + 1]
     words = {r["term"]: r["toxic"] for r in strong if r["kind"] == "word"}
     stems = {r["term"]: r["toxic"] for r in strong if r["kind"] == "stem"}
     best: dict[str, int] = {}
@@ -342,11 +358,11 @@ def learn(
     terms, stems = list(SEEDS), []
     if toxic:
         counted = stored(_counts(_emit(sample, _words_and_stems)).filter(F.col("toxic") > 0), "terms")
-        frequent = counted.filter(F.col("apart") >= LEAST_DOCS).withColumn("lead", F.col("apart") + F.col("toxic") - F.col("docs"))
-        found = frequent.orderBy(F.desc("lead"), "kind", "term").limit(20 * TERMS).collect()
+        # Bounded by the sample: a word of four of its documents at least, most of them toxic.
+        found = counted.filter((F.col("apart") >= LEAST_DOCS) & (F.col("toxic") >= LEAST_SHARE * F.col("docs"))).orderBy("kind", "term").collect()
         plain, stems = _chosen(found, total, toxic, counted.count())
-        terms += sorted(plain, key=lambda w: (-len(w), w))[:TERMS]
-    lexicon = Lexicon(tuple(dict.fromkeys(terms)), tuple(stems[:TERMS]))
+        terms += sorted(plain)
+    lexicon = Lexicon(tuple(dict.fromkeys(terms)), tuple(sorted(stems)))
 
     def matches():
         matcher = Matcher(lexicon)
