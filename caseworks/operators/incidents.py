@@ -12,7 +12,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from caseworks.plans.bounded import bounded_rows
+from caseworks.plans.bounded import bounded_rows, lookup_join
+from caseworks.plans.stages import write_stage
 
 MAX_THEMES = 10_000
 
@@ -41,10 +42,27 @@ def daily_theme_matrix(df: DataFrame, ts: str, theme: str, values: Sequence | No
 
 
 def daily_theme_dense(df: DataFrame, ts: str, theme: str, values: Sequence | None = None) -> DataFrame:
-    """Long form of the matrix: every observed day for every theme."""
-    wide = daily_theme_matrix(df, ts, theme, values)
-    names = [c for c in wide.columns if c != "day"]
-    return wide.unpivot(["day"], names, "theme", "count")
+    """Long form of the matrix: every observed day for every theme, of any number of themes.
+
+    Observed days are numbered once. A theme's present days know the next one, and the absent days between them (before the
+    first and after the last too) are generated from the numbers, so nothing is pivoted and no list of themes is needed.
+    """
+    counts, _ = write_stage(daily_theme_counts(df, ts, theme), "daily")
+    days = counts.select("day").distinct().withColumn("at", F.row_number().over(W.orderBy("day")) - 1)
+    days, _ = write_stage(days, "days")
+    last = days.agg(F.max("at")).first()[0]
+    if last is None:
+        return counts.select("day", "theme", "count")
+    if values is not None:
+        wanted = df.sparkSession.createDataFrame([(v,) for v in values], f"theme {counts.schema['theme'].dataType.simpleString()}")
+        counts = counts.join(F.broadcast(wanted), "theme", "right")
+    numbered = lookup_join(counts, days, ["day"], ["theme"], "left")
+    in_order = W.partitionBy("theme").orderBy("at")
+    begin = F.when(F.row_number().over(in_order) == 1, 0).otherwise(F.col("at"))
+    runs = numbered.withColumn("begin", begin).withColumn("end", F.coalesce(F.lead("at").over(in_order) - 1, F.lit(last)))
+    cells = runs.select("theme", F.col("at").alias("own"), "count", F.explode(F.sequence("begin", "end")).alias("at"))
+    filled = cells.select("theme", "at", F.when(F.col("at") == F.col("own"), F.col("count")).otherwise(0).alias("count"))
+    return lookup_join(filled, days, ["at"], ["theme"], "inner").select("day", "theme", "count")
 
 
 def theme_spikes(df: DataFrame, ts: str, theme: str, z: float = 3.0, top: int | None = None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact interpolated quantiles that hold up for groups of any size.
 
 The built-in ``percentile`` keeps every distinct value of a group in one task's
-memory. For large groups a sketch first brackets each wanted rank, then only the
-values inside the bracket are counted and ranked; the answer is still exact.
+memory. Here a first pass sketches each group and brackets each wanted rank, and a second
+pass counts and ranks only the values inside the brackets; the answer is still exact. Both passes are the same at every size.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from caseworks.plans.bounded import lookup_join
+from caseworks.plans.stages import write_stage
 
-DIRECT_GROUP_ROWS = 5_000_000
-SKETCH_ACCURACY = 1_000_000
+#: A sketched rank is off by at most one part in this many; smaller groups are bracketed by their whole range.
+SKETCH_ACCURACY = 10_000
 
 
 def exact_quantiles(
@@ -24,33 +25,16 @@ def exact_quantiles(
     value: str,
     quantiles: dict[str, float],
     extra: Sequence[Column] = (),
-    direct_rows: int = DIRECT_GROUP_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """One row per group with ``quantiles`` (name -> probability) and the ``extra`` aggregates.
 
-    NULL values are skipped, positions between two values interpolate linearly.
-    Groups up to ``direct_rows`` rows use the built-in aggregate.
+    NULL values are skipped, positions between two values interpolate linearly; a group without a value has NULLs.
     """
     groups = list(groups)
-    sizes = df.groupBy(*groups).agg(F.count(value).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= direct_rows:
-        names, probs = list(quantiles), [float(p) for p in quantiles.values()]
-        packed = df.groupBy(*groups).agg(
-            *extra, F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("_q")
-        )
-        return packed.select(
-            *[c for c in packed.columns if c != "_q"],
-            *[F.col("_q")[i].alias(name) for i, name in enumerate(names)],
-        )
-    return _bracketed(df, groups, value, quantiles, extra, accuracy)
-
-
-def _bracketed(df, groups, value, quantiles, extra, accuracy):
-    anchor = groups or ["_all"]
-    if not groups:
-        df = df.withColumn("_all", F.lit(0))
+    # A struct, so that groups of NULL keys meet too.
+    anchor = ["_g"]
+    df = df.withColumn("_g", F.struct(*groups) if groups else F.struct(F.lit(0).alias("all")))
     values = df.filter(F.col(value).isNotNull())
     # A sketched rank is off by at most n/accuracy; four times that also covers interpolation
     # between neighbours once n >= accuracy. Smaller groups are bracketed by their whole range.
@@ -59,13 +43,17 @@ def _bracketed(df, groups, value, quantiles, extra, accuracy):
     names, probs = list(quantiles), [float(p) for p in quantiles.values()]
     lows = F.array(*[F.lit(max(p - slack, 0.0)) for p in probs])
     highs = F.array(*[F.lit(min(p + slack, 1.0)) for p in probs])
-    sketch = values.groupBy(*anchor).agg(
-        F.count(F.lit(1)).alias("_n"),
+    sketch = df.groupBy(*anchor).agg(
+        *extra,
+        F.count(value).alias("_n"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
         F.percentile_approx(value, lows, accuracy).alias("_lo"),
         F.percentile_approx(value, highs, accuracy).alias("_hi"),
     )
+    known = sketch.columns
+    # One row per group, written so that the input is read once for it.
+    sketch, _ = write_stage(sketch, "sketch")
     targets = F.array(
         *[
             F.struct(
@@ -77,7 +65,7 @@ def _bracketed(df, groups, value, quantiles, extra, accuracy):
             for i, p in enumerate(probs)
         ]
     )
-    brackets = sketch.select(*anchor, targets.alias("_t"))
+    brackets = sketch.filter(F.col("_n") > 0).select(*anchor, targets.alias("_t"))
     slim = values.select(*anchor, F.col(value).cast("double").alias("_v"))
     tagged = lookup_join(slim, brackets, anchor, ["_v"], "inner")
 
@@ -108,8 +96,6 @@ def _bracketed(df, groups, value, quantiles, extra, accuracy):
     wide = exact.groupBy(*anchor).agg(
         *[F.max(F.when(F.col("_q") == i, F.col("_x"))).alias(name) for i, name in enumerate(names)]
     )
-    if not extra:
-        return wide.select(*groups, *names)
-    summary = df.groupBy(*anchor).agg(*extra)
-    joined = summary.join(wide, anchor, "left")
-    return joined.drop("_all") if not groups else joined
+    kept = [c for c in known if c not in (*anchor, "_n", "_min", "_max", "_lo", "_hi")]
+    joined = sketch.select(*anchor, *kept).join(wide, anchor, "left")
+    return joined.select(*[F.col(f"_g.`{g}`").alias(g) for g in groups], *kept, *names)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseworks.sources.split_csv import read_csv
+
 
 def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
     """Parquet table. ``spread`` is for text-heavy work on input that cannot be split.
@@ -20,16 +22,30 @@ def table(spark: SparkSession, folder: str, name: str, spread: bool = False) ->
     return df
 
 
-def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with header from a file or a folder of ``*.csv`` files; quoted fields may hold line breaks.
+def case_csv_files(spark: SparkSession, path: str, which: str = "all") -> list[str]:
+    """The CSV files of ``path``, a file or a folder, by name.
 
-    With a schema the file is read once; without one, types are inferred from a first pass.
+    ``which="one"`` picks one: the only ``*.csv`` of a folder, else its ``data.csv``, else the first by name. None at all is an error.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place) or system.getFileStatus(place).isFile():
+        return [path]
+    listed = (s.getPath() for s in system.listStatus(place) if s.isFile())
+    files = sorted(str(p) for p in listed if p.getName().endswith(".csv") and not p.getName().startswith(("_", ".")))
+    if not files:
+        raise FileNotFoundError(f"no CSV file in {path}")
+    if which == "all" or len(files) == 1:
+        return files
+    return [next((f for f in files if f.endswith("/data.csv")), files[0])]
+
+
+def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, which: str = "all") -> DataFrame:
+    """CSV with header from a file or a folder of ``*.csv`` files (see ``case_csv_files``); quoted fields may hold line breaks.
+
+    Large files are read by many tasks, line breaks or not. Types not given are inferred in a pass over all records.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    if not path.endswith(".csv"):
-        reader = reader.option("pathGlobFilter", "*.csv")
-    return reader.csv(path)
+    return read_csv(spark, case_csv_files(spark, path, which), schema)
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from caseworks.operators.splits import prepare_per_target, split_at_least_one
 from caseworks.sources import readers, writers
 
 import csv
+import random
+
 import pytest
 
 
@@ -27,6 +29,46 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     assert inferred.dtypes == [("a", "int"), ("b", "string")] and inferred.count() == 1
 
 
+@pytest.mark.parametrize("size", [7, 40, 300, 1 << 20])
+def test_csv_cut_anywhere_equals_one_task(spark, tmp_path, size):
+    """Ranges of any size give the rows of the reader that takes a file in one task."""
+    rng = random.Random(5)
+    for name, end in (("a", "\n"), ("b", "\r\n"), ("c", "\n")):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerow(["id", 'the "note"' if name != "c" else 'the\n"note"', "n"])
+            for k in range(80):
+                note = "".join(rng.choice(['"', ",", "\n", "é", "word ", ""]) for _ in range(rng.randint(0, 12)))
+                writer.writerow([f"{name}{k}", note, rng.randint(0, 9)])
+    schema = "id string, note string, n int"
+    plain = spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema(schema).csv(str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = readers.read_cases_csv(spark, str(tmp_path), schema)
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+        if size == 300:
+            from caseworks.sources.split_csv import _lines
+
+            assert _lines(spark, readers.case_csv_files(spark, str(tmp_path))).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_types_and_directory_rule(spark, tmp_path):
+    (tmp_path / "b.csv").write_text('i,l,d,t,day,s,none\n1,5000000000,1.5,true,2024-01-02,x y,\n-2,7,2,false,2024-1-3,"1\n2",\n')
+    found = readers.read_cases_csv(spark, str(tmp_path), which="one")
+    assert [t for _, t in found.dtypes] == ["int", "bigint", "double", "boolean", "date", "string", "string"] and found.count() == 2
+    (tmp_path / "a.csv").write_text("q\n1\n")
+    assert readers.case_csv_files(spark, str(tmp_path), "one")[0].endswith("/a.csv") and len(readers.case_csv_files(spark, str(tmp_path))) == 2
+    (tmp_path / "data.csv").write_text("q\n1\n")
+    assert readers.case_csv_files(spark, str(tmp_path), "one")[0].endswith("/data.csv")
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        readers.read_cases_csv(spark, str(tmp_path / "none"))
+
+
 def test_json_records(spark, tmp_path):
     (tmp_path / "many.json").write_text(json.dumps([{"a": 1}, {"a": 2}]))
     (tmp_path / "one.json").write_text(json.dumps({"a": 3}))

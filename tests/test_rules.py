@@ -382,3 +382,23 @@ def test_sentiment_rules(spark):
     assert sorted((r["id"], round(r["compound"], 9)) for r in found) == sorted(
         (n, round(s / (s * s + 15.0) ** 0.5, 9)) for (n, _), s in zip(rows, sums, strict=True)
     )
+
+
+def test_dense_days_of_many_themes(spark):
+    """Every observed day for every theme, present or not, against the grid itself."""
+    from caseworks.operators.incidents import daily_theme_dense
+
+    rows = spark.range(4000).select(
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(40)) * 2 * 86_400 + F.col("id") % 5000).alias("ts"),
+        F.when(F.col("id") % 97 > 0, F.concat(F.lit("t"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1500)))).alias("theme"),
+    )
+    found = {(r["day"], r["theme"]): r["count"] for r in daily_theme_dense(rows, "ts", "theme").collect()}
+    counts = {}
+    for r in rows.filter("theme is not null").select(F.to_date("ts").alias("day"), "theme").collect():
+        counts[r["day"], r["theme"]] = counts.get((r["day"], r["theme"]), 0) + 1
+    days, names = {d for d, _ in counts}, {t for _, t in counts}
+    assert found == {(d, t): counts.get((d, t), 0) for d in days for t in names}
+    some = {(r["day"], r["theme"]): r["count"] for r in daily_theme_dense(rows, "ts", "theme", ["t1", "never"]).collect()}
+    own = {d for d, t in counts if t == "t1"} if not any(t == "never" for _, t in counts) else set()
+    assert {t for _, t in some} == {"t1", "never"} and all(some[d, "never"] == 0 for d in days) and sum(v for (_, t), v in some.items() if t == "t1") == sum(v for (_, t), v in counts.items() if t == "t1") and own
+    assert daily_theme_dense(rows.limit(0), "ts", "theme").count() == 0

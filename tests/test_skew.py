@@ -48,23 +48,27 @@ def test_hot_keys_are_found(skewed):
 @pytest.mark.parametrize("groups", [[], ["k"]])
 def test_bracketed_quantiles_are_exact(skewed, groups):
     wanted = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.95, "e": 1.0}
+    odd = skewed.union(skewed.limit(3).withColumn("k", F.lit(None).cast("string")))
     for value in ("v", "s"):
-        direct = exact_quantiles(skewed, groups, value, wanted, extra=[F.count(F.lit(1)).alias("n")])
-        bracket = exact_quantiles(
-            skewed, groups, value, wanted, extra=[F.count(F.lit(1)).alias("n")], direct_rows=5, accuracy=50
-        )
-        left = sorted(direct.collect(), key=str)
-        right = sorted(bracket.select(*direct.columns).collect(), key=str)
-        assert len(left) == len(right)
-        for a, b in zip(left, right):
-            assert a["n"] == b["n"] and all(a[q] == pytest.approx(b[q], rel=1e-12, abs=1e-12) for q in wanted)
+        shares = F.array(*[F.lit(p) for p in wanted.values()])
+        packed = odd.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.percentile(value, shares).alias("q"))
+        direct = packed.select(*groups, "n", *[F.col("q")[i].alias(name) for i, name in enumerate(wanted)])
+        for accuracy in (50, 10_000):
+            bracket = exact_quantiles(odd, groups, value, wanted, extra=[F.count(F.lit(1)).alias("n")], accuracy=accuracy)
+            left = sorted(direct.collect(), key=str)
+            right = sorted(bracket.select(*direct.columns).collect(), key=str)
+            assert len(left) == len(right)
+            for a, b in zip(left, right):
+                assert a["n"] == b["n"] and all(a[q] == pytest.approx(b[q], rel=1e-12, abs=1e-12) for q in wanted)
 
 
 def test_quantiles_skip_nulls_and_match_numpy(spark):
     data = [None, 1.0, 2.0, None, 10.0, 11.0]
     df = spark.createDataFrame([(x,) for x in data], "x double")
-    got = exact_quantiles(df, [], "x", {"p": 0.9}, direct_rows=1, accuracy=100).first()["p"]
+    got = exact_quantiles(df, [], "x", {"p": 0.9}, accuracy=100).first()["p"]
     assert got == pytest.approx(np.quantile([x for x in data if x is not None], 0.9))
+    none = df.filter("x is null")
+    assert [tuple(r) for r in exact_quantiles(none, [], "x", {"p": 0.5}, extra=[F.count(F.lit(1)).alias("n")]).collect()] == [(2, None)]
 
 
 def test_mark_smallest_equals_sorting(skewed):
