@@ -43,13 +43,14 @@ def csv_cases_inferred(spark, sf):
 
 
 def json_record_files(spark, sf):
-    """A document per region, which holds an array of its nations."""
-    nations = table(spark, sf, "nation")
-    record = F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
-    bodies = nations.groupBy("n_regionkey").agg(F.to_json(F.collect_list(record)).alias("value"))
+    """A document per thousand order numbers, which holds an array of their orders."""
+    orders = table(spark, sf, "orders")
+    record = F.struct("o_orderkey", "o_orderstatus", "o_totalprice")
+    place = F.floor(F.col("o_orderkey") / 1000).alias("thousand")
+    bodies = orders.groupBy(place).agg(F.to_json(F.collect_list(record)).alias("value"))
     path = _place(spark, "records-json")
-    bodies.write.partitionBy("n_regionkey").text(path)
-    return readers.read_json_records(spark, path, "key long, name string").select("key", "name")
+    bodies.write.partitionBy("thousand").text(path)
+    return readers.read_json_records(spark, path, "o_orderkey long, o_orderstatus string, o_totalprice double").drop("thousand")
 
 
 def case_table(spark, sf):
@@ -179,7 +180,7 @@ _TIER = "CASE WHEN p_type IN ('ECONOMY', 'PROMO', 'SMALL') THEN 'low' ELSE 'high
 QUERIES = {
     "csv_cases": (csv_cases, """SELECT c_custkey, '"' || c_name || '",' || chr(10) || c_mktsegment AS note, c_acctbal FROM customer"""),
     "csv_cases_inferred": (csv_cases_inferred, "SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey FROM supplier"),
-    "json_record_files": (json_record_files, "SELECT CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation"),
+    "json_record_files": (json_record_files, "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"),
     "case_table": (case_table, "SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders"),
     "split_files": (
         split_files,
