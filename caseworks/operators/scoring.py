@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassificationModel, OneVsRestModel
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, OneVsRestModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseworks.functions.clean import as_column
+from caseworks.operators.boosting import SoftmaxTreesModel
 from caseworks.operators.features import md5_bucket
+from caseworks.operators.linear import LinearModel, margins_of
 from caseworks.operators.training import Classifier
+from caseworks.plans.stages import VectorBatch
 
 
 def _label_array(labels: Sequence[str]) -> Column:
@@ -70,6 +76,61 @@ def score_all_targets(df: DataFrame, models: Mapping[str, Classifier], id_col: s
     return rows.select(id_col, F.inline(F.array(*answers)))
 
 
+def batch_scorer(model) -> Callable[[VectorBatch], np.ndarray] | None:
+    """Function from vectors to probabilities (rows x classes) of models that are tables of numbers; None for others."""
+    if isinstance(model, LinearModel):
+        weights, intercepts = model.coefficients, model.intercepts
+
+        def linear(batch: VectorBatch) -> np.ndarray:
+            p = 1 / (1 + np.exp(-np.clip(margins_of(batch.row, batch.index, batch.value, batch.rows, weights, intercepts), -700, 700)))
+            total = p.sum(1, keepdims=True)
+            return np.divide(p, total, out=np.zeros_like(p), where=total > 0)
+
+        return linear
+    if isinstance(model, SoftmaxTreesModel):
+        trees, priors, used = model.trees, np.array(model.priors), model.trees.used()
+
+        def boosted(batch: VectorBatch) -> np.ndarray:
+            columns = batch.columns(used)
+            margins = np.tile(priors, (batch.rows, 1))
+            trees.add(margins, columns, used)
+            return _softmax(margins)
+
+        return boosted
+    if isinstance(model, LogisticRegressionModel) and model.numClasses >= 2:
+        weights, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+        if len(intercepts) == 1:
+            weights, intercepts = np.concatenate([np.zeros_like(weights), weights]), np.concatenate([[0.0], intercepts])
+        return lambda batch: _softmax(margins_of(batch.row, batch.index, batch.value, batch.rows, weights, intercepts))
+    return None
+
+
+def _softmax(margins: np.ndarray) -> np.ndarray:
+    powers = np.exp(margins - margins.max(1, keepdims=True))
+    return powers / powers.sum(1, keepdims=True)
+
+
+def _answers(models: Mapping[str, Classifier]) -> Callable[[Column, Column], Column]:
+    """Function of (target, vector) that gives the probabilities of the row's own target's model; NULL without one."""
+    scorers = {target: batch_scorer(clf.model) for target, clf in models.items()}
+
+    @F.arrow_udf("array<double>")
+    def answers(targets: pa.Array, vectors: pa.Array) -> pa.Array:
+        found = [None] * len(targets)
+        codes = pc.dictionary_encode(targets)
+        place = codes.indices.to_numpy(zero_copy_only=False)
+        for code, target in enumerate(codes.dictionary.to_pylist()):
+            rows = np.flatnonzero(place == code)
+            if target is None or not len(rows):
+                continue
+            own = scorers[target](VectorBatch(vectors.take(pa.array(rows))))
+            for row, probabilities in zip(rows.tolist(), own.tolist(), strict=True):
+                found[row] = probabilities
+        return pa.array(found, pa.list_(pa.float64()))
+
+    return answers
+
+
 def score_dispatch(
     requests: DataFrame, models: Mapping[str, Classifier], schema: str, request_id: str = "request_id",
     target: str = "target", instances: str = "instances",
@@ -78,7 +139,8 @@ def score_dispatch(
 
     ``instances`` is a JSON array of records with the fields of ``schema``. Result:
     (request_id, position, target, prediction, probabilities, error); a malformed request or
-    an unknown target gives one row with the error text.
+    an unknown target gives one row with the error text. If all models take the same features and are tables of numbers (linear or
+    boosted), requests are read and parsed once, and each row goes to its own target's model only; otherwise once per target.
     """
     known = sorted(models)
     parsed = requests.withColumn(
@@ -90,6 +152,9 @@ def score_dispatch(
         F.concat(F.lit("unknown target '"), F.col(target), F.lit(f"'; available: {', '.join(known)}")),
     )
     checked = parsed.withColumn("error", error)
+    routings = {(clf.variant, clf.routing.to_json()) for clf in models.values()}
+    if len(routings) == 1 and all(clf.variant != "encoded" and batch_scorer(clf.model) for clf in models.values()):
+        return _dispatched(checked, models, request_id, target)
     rejects = checked.filter(F.col("error").isNotNull()).select(
         request_id, F.lit(None).cast("int").alias("position"), F.col(target).alias("target"),
         F.lit(None).cast("string").alias("prediction"),
@@ -109,6 +174,25 @@ def score_dispatch(
     return reduce(DataFrame.unionByName, [one(t) for t in known], rejects)
 
 
+def _dispatched(checked: DataFrame, models: Mapping[str, Classifier], request_id: str, target: str) -> DataFrame:
+    """``score_dispatch`` in one scan of requests with their ``error`` and ``_rows``."""
+    sound = F.col("error").isNull()
+    rows = checked.select(
+        request_id, F.col(target).alias("_asked"), F.when(sound, F.col(target)).alias("_target"), F.col("error").alias("_error"),
+        F.posexplode_outer(F.when(sound, F.col("_rows"))).alias("_position", "_row"),
+    ).filter(F.col("_error").isNotNull() | F.col("_position").isNotNull())
+    first = next(iter(models.values()))
+    featured = first.features(rows.select(F.col(request_id).alias("_request"), "_asked", "_target", "_error", "_position", "_row.*"))
+    made = featured.select("_request", "_asked", "_target", "_error", "_position", _answers(models)(F.col("_target"), F.col("features")).alias("_p"))
+    index = (F.array_position("_p", F.array_max("_p")) - 1).cast("int")
+    names = F.element_at(F.from_json(F.lit(json.dumps({t: list(c.labels) for t, c in models.items()})), "map<string,array<string>>"), F.col("_target"))
+    name = F.when(F.col("_p").isNotNull(), F.coalesce(F.try_element_at(names, index + 1), index.cast("string")))
+    return made.select(
+        F.col("_request").alias(request_id), F.col("_position").alias("position"), F.col("_asked").alias("target"), name.alias("prediction"),
+        F.col("_p").alias("probabilities"), F.col("_error").alias("error"),
+    )
+
+
 def format_predictions(
     df: DataFrame, request: str, position: str, how: str | Sequence[str] = "json", prediction: str = "prediction"
 ) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from caseworks.functions.text import STOP_WORDS, with_terms
+from caseworks.plans.bounded import lookup_join
+from caseworks.plans.stages import write_stage
 from caseworks.plans.topk import contenders
 
 MAX_VOCABULARY = 262_144
@@ -105,6 +107,37 @@ def tfidf(
     return entries.join(F.broadcast(model.terms_table(df)), "idx").select(id_col, "term", F.col("w").alias("weight"))
 
 
+def tfidf_vocabulary(
+    df: DataFrame, text: str, ngram_range: tuple[int, int] = (1, 2), min_df: int = 3,
+    max_features: int = 20_000, stop_words: Sequence[str] = STOP_WORDS,
+) -> DataFrame:
+    """(term, idf): the terms of ``fit_tfidf`` as a table, of any number of them; only counts by frequency reach the driver.
+
+    The frequency at which ``max_features`` terms are reached is found from the number of terms of each frequency; only the ties there are sorted.
+    """
+    stats, _ = write_stage(term_statistics(df, text, ngram_range, stop_words).filter(F.col("df") >= min_df), "terms")
+    sizes = stats.groupBy("tf").agg(F.count(F.lit(1)).alias("terms"))
+    upto = sizes.withColumn("upto", F.sum("terms").over(W.orderBy(F.desc("tf"))))
+    edge = upto.filter(F.col("upto") >= max_features).orderBy(F.desc("tf")).select("tf", F.col("upto") - F.col("terms")).first()
+    kept = stats
+    if edge:
+        ties = stats.filter(F.col("tf") == edge[0]).orderBy("term").limit(max_features - edge[1])
+        kept = stats.filter(F.col("tf") > edge[0]).union(ties)
+    idf = F.log((1.0 + F.lit(df.count())) / (1.0 + F.col("df"))) + 1.0
+    return kept.select("term", idf.alias("idf"))
+
+
+def tfidf_by_table(
+    df: DataFrame, id_col: str, text: str, vocabulary: DataFrame, ngram_range: tuple[int, int] = (1, 2), stop_words: Sequence[str] = STOP_WORDS,
+) -> DataFrame:
+    """Long form (id, term, weight) by a table (term, idf) of any size: (id, term) counts meet it by term, frequent terms salted."""
+    counts = with_terms(df.select(id_col, text), text, "_t", ngram_range, stop_words).select(id_col, F.explode("_t").alias("term"))
+    counts = counts.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    weighted = lookup_join(counts, vocabulary, ["term"], [id_col], "inner").withColumn("_w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(id_col)))
+    return weighted.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
+
+
 def tfidf_per_group(
     df: DataFrame, group: str, id_col: str, text: str, ngram_range: tuple[int, int] = (1, 2), min_df: int = 2,
     max_features: int = 2_000, stop_words: Sequence[str] = STOP_WORDS,

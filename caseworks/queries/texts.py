@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from caseworks.functions.text import STOP_WORDS
 from caseworks.functions.vectors import cosine_distance, l2_norm, l2_normalize
 from caseworks.operators import embedding, sentiment, themes
-from caseworks.operators.tfidf import fit_tfidf, tfidf, vector_entries
+from caseworks.operators.tfidf import fit_tfidf, tfidf, tfidf_by_table, tfidf_vocabulary, vector_entries
 from caseworks.plans.bounded import lookup_join
 from caseworks.queries.common import document_vectors, r6, table
 from caseworks.queries.records import STRIP, WORDS
@@ -30,6 +30,13 @@ NEGATIONS, BOOSTERS, CONTRAST = ["not", "en", "nicht", "ne"], {"to": 0.293, "in"
 # TF-IDF
 
 
+def tfidf_table(spark, sf):
+    """Every term of three documents or more, up to two million, as a table."""
+    docs = _docs(spark, sf)
+    found = tfidf_by_table(docs, "doc_id", "text", tfidf_vocabulary(docs, "text", max_features=2_000_000))
+    return found.select("doc_id", "term", r6("weight").alias("weight"))
+
+
 def tfidf_weights(spark, sf):
     return tfidf(_docs(spark, sf), "doc_id", "text", max_features=VOCABULARY).select("doc_id", "term", r6("weight").alias("weight"))
 
@@ -347,6 +354,10 @@ _CUT = """
 k AS (SELECT doc_id, text AS t FROM documents)"""
 
 QUERIES = {
+    "tfidf_table": (
+        tfidf_table,
+        f"WITH {tfidf_sql('SELECT doc_id, text FROM documents', '', 3, 2_000_000)} SELECT doc_id, term, round(weight, 6) AS weight FROM x",
+    ),
     "tfidf_weights": (
         tfidf_weights,
         f"WITH {tfidf_sql('SELECT doc_id, text FROM documents', '', 3, VOCABULARY)} SELECT doc_id, term, round(weight, 6) AS weight FROM x",

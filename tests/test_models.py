@@ -106,6 +106,34 @@ def test_dispatch(spark, trained):
     assert done.first()["body"] == '{"prediction":["a1","a0"]}'
 
 
+def test_dispatch_in_one_scan_equals_one_plan_per_target(spark, trained, lines, monkeypatch, tmp_path):
+    """Four targets, their own models; one scan of the requests, and the answers of scoring each target by itself."""
+    account, dept = (trained[0][t] for t in ("account", "dept"))
+    train, val = _matrix(lines, "dept")
+    boosted = training.Classifier("boosted", training.train_trees(train, rounds=3, depth=3), dept.labels, dept.routing)
+    linear = training.Classifier("linear", training.train_linear(train, max_iter=5), dept.labels, dept.routing)
+    models = {"account": account, "dept": dept, "boosted": boosted, "linear": linear}
+    names = F.array(*[F.lit(t) for t in models])
+    rows = lines.select(
+        F.col("id").alias("request_id"), F.get(names, F.pmod(F.xxhash64("id"), F.lit(5)).cast("int")).alias("target"),
+        F.to_json(F.array(F.struct("vendor", "line_desc", "club"))).alias("instances"),
+    )
+    rows.write.parquet(str(tmp_path / "requests"))
+    requests = spark.read.parquet(str(tmp_path / "requests"))
+    schema = "vendor string, line_desc string, club int"
+    one = scoring.score_dispatch(requests, models, schema)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    monkeypatch.setattr(scoring, "batch_scorer", lambda model: None)
+    apart = scoring.score_dispatch(requests, models, schema)
+    order = ["request_id", "position"]
+    a, b = ([r.asDict() for r in d.orderBy(*order).collect()] for d in (one, apart))
+    assert len(a) == len(b) == lines.count()
+    for x, y in zip(a, b, strict=True):
+        p, q = x.pop("probabilities"), y.pop("probabilities")
+        assert x == y and (p is None) == (q is None) and all(abs(m - n) < 1e-9 for m, n in zip(p or [], q or [], strict=True))
+
+
 def _matrix(lines, target):
     split = splits.split_support_aware(lines, "id", COLUMNS, [target])
     clf = training.Classifier(target, None, [], route_features(lines.schema, COLUMNS, "A"))

@@ -402,3 +402,13 @@ def test_dense_days_of_many_themes(spark):
     own = {d for d, t in counts if t == "t1"} if not any(t == "never" for _, t in counts) else set()
     assert {t for _, t in some} == {"t1", "never"} and all(some[d, "never"] == 0 for d in days) and sum(v for (_, t), v in some.items() if t == "t1") == sum(v for (_, t), v in counts.items() if t == "t1") and own
     assert daily_theme_dense(rows.limit(0), "ts", "theme").count() == 0
+
+
+def test_tfidf_by_table_equals_the_vector_form(spark, sf):
+    from caseworks.operators.tfidf import tfidf, tfidf_by_table, tfidf_vocabulary
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    for size in (50, 777, 20_000):
+        expected = {(r["doc_id"], r["term"]): r["weight"] for r in tfidf(docs, "doc_id", "text", max_features=size).collect()}
+        found = {(r["doc_id"], r["term"]): r["weight"] for r in tfidf_by_table(docs, "doc_id", "text", tfidf_vocabulary(docs, "text", max_features=size)).collect()}
+        assert found.keys() == expected.keys() and all(abs(found[k] - expected[k]) < 1e-9 for k in found)
