@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from caseworks.llm.common import named
 
-#: Different spellings whose ids a worker remembers.
+#: Different spellings whose ids a worker remembers, and twice as many words.
 MEMORY = 250_000
 #: Signs that end a part: of one kind for the tokenizer, and not the apostrophe, which may begin a piece with letters.
 SIGNS = ".,;:!?#$%&*|()[]"
@@ -73,8 +73,6 @@ class WordMemory:
         self.last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.parts: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {"": b""}
-        self.met: set[str] = set()
-        self.again: set[str] = set()
 
     def split(self, part: str) -> tuple[str, str]:
         """The part's letters in lower case and its trailing signs, or the part as it is."""
@@ -101,6 +99,8 @@ class WordMemory:
         return [array("I", e.ids).tobytes() for e in each]
 
     def learn(self, fresh: list[str]) -> None:
+        if len(self.units) > 2 * self.limit:
+            self.units = {"": b""}
         split = [self.split(p) for p in fresh]
         new = [u for u in dict.fromkeys(x for both in split for x in both) if u and u not in self.units]
         single = [u for u in new if u.isalpha() or not u.strip(SIGNS)]
@@ -113,27 +113,14 @@ class WordMemory:
         units = self.units
         self.parts.update((p, units[core] + units[signs]) for p, (core, signs) in zip(fresh, split, strict=True))
 
-    def turn(self, needed: set[str]) -> None:
-        """Forgets the parts that one group of texts at most has needed since the last turn, and the units only they had."""
-        kept = self.again & self.parts.keys()
-        if len(kept) > self.limit // 2:
-            kept = needed & self.parts.keys()
-        self.parts = {p: self.parts[p] for p in kept}
-        units = {u for p in kept for u in self.split(p)} & self.units.keys()
-        self.units = {"": b"", **{u: self.units[u] for u in units}}
-        self.met, self.again = set(), set()
-
     def packed(self, texts: list[str]) -> list[bytes]:
         """Packed ids of some texts, whose new words are learned together."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        needed = set().union(*split)
-        if len(self.parts) + len(needed) > self.limit and len(self.parts) + len(needed - self.parts.keys()) > self.limit:
-            self.turn(needed)
-        self.again |= needed & self.met
-        self.met |= needed
-        fresh = needed - self.parts.keys()
-        if fresh:
-            self.learn(list(fresh))
+        fresh = [p for p in set().union(*split) if p not in self.parts]
+        if len(self.parts) + len(fresh) > self.limit:
+            self.parts = {}
+            fresh = list(set().union(*split))
+        self.learn(fresh)
         known = self.parts.__getitem__
         return [b"".join(map(known, parts)) for parts in split]
 
