@@ -19,7 +19,8 @@ that stand for letters are read as letters first.
 **Context.** Within a window of words, a term between quotation marks counts half,
 and less if a verb of reporting is near; one next to a second-person pronoun or
 another term counts more. The score is 1 minus the product of the terms' doubts and
-of the share of labelled documents without any term that are toxic all the same.
+of the share of labelled documents without any term that are toxic all the same. Of misspelled learned terms only the strongest counts,
+and by itself ``NEAR_MOST`` at most: the ordinary words of a language resemble one another.
 
 The sample is bounded (``SAMPLE`` labelled rows, by a hash of the id), and with it the
 lexicon; two thirds of it choose words, the rest must not speak against them. Scoring covers all documents and whole texts.
@@ -49,14 +50,18 @@ from caseworks.llm.sampling import labelled_sample
 
 SAMPLE = 8_000
 #: Factors of the orders in which documents are sketched.
-SKETCHES = (1, 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
+SKETCHES = (1, 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1)
 #: Abusive words to start with, and the documents each counts for until labels say more.
 SEEDS = "idiot moron stupid imbecile scum loser trash worthless pathetic disgusting clown dumbass bastard asshole retard vermin".split()
 SEED_WEIGHT = 6.0
 #: A misspelling's share of the probability of the term itself, and the documents this counts for with learned terms.
 NEAR_SHARE, NEAR_WEIGHT = 0.85, 2.0
+#: Most that one misspelled learned term counts by itself: ordinary words of its language may resemble it.
+NEAR_MOST = 0.65
 #: Fewest toxic documents of a learned term, its least share of toxic ones, and the shortest and longest stems.
-LEAST_DOCS, LEAST_SHARE, STEMS = 4, 0.6, range(3, 8)
+LEAST_DOCS, LEAST_SHARE, STEMS = 6, 0.6, range(3, 8)
+#: Fewest documents of a learned term in the part of the sample that proves it, and their least share of toxic ones.
+PROOF_DOCS, PROOF_SHARE = 3, 0.8
 WINDOW, NEAR = 12, 3
 #: Matches that are seldom right don't count, however many there are.
 DOUBTFUL = 0.5
@@ -259,33 +264,65 @@ def text_score(text: str, matcher: Matcher, lexicon: Lexicon) -> float:
     parts = text.split()
     hits = matcher.hits(parts)
     places = {i for i, _, _ in hits}
+    likely = 0.0
     for i, kind, term in hits:
-        doubt *= 1 - min(0.995, lexicon.chance.get((kind, term), 0.0) * weight(parts, i, places))
-    return 1 - doubt
+        counts = min(0.995, lexicon.chance.get((kind, term), 0.0) * weight(parts, i, places))
+        if kind in ("near", "front") and term not in SEEDS:
+            likely = max(likely, counts)
+        else:
+            doubt *= 1 - counts
+    return 1 - doubt * (1 - likely)
 
 
 def least_hashes(text: str) -> list[int]:
-    """The smallest of a text's word hashes in ``SKETCHES`` orders: near-copies share one of them nearly always, other texts seldom do."""
-    hashes = [zlib.crc32(w.encode()) for w in set(text.split())] or [0]
+    """The smallest hash of a text's runs of three words in ``SKETCHES`` orders: near-copies share one of them nearly always, other texts hardly ever."""
+    parts = text.split()
+    hashes = {zlib.crc32(" ".join(parts[i : i + 3]).encode()) for i in range(max(1, len(parts) - 2))}
     return [min((h * factor) & 0xFFFFFFFF for h in hashes) for factor in SKETCHES]
 
 
-def _emit(rows: DataFrame, of_text, schema: str = "kind string, term string, y int, sketch array<long>") -> DataFrame:
-    """(kind, term, y, sketch): the different findings of each labelled text, and its least hashes."""
+def with_groups(sample: DataFrame) -> DataFrame:
+    """The sample with the number ``part`` of each document's group of near-copies, found on the driver from its few hashes a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [least_hashes(v.as_py() or "") for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "sketch"])
+
+    schema = T.StructType([sample.schema["doc_id"], T.StructField("sketch", T.ArrayType(T.LongType()))])
+    rows = sorted(sample.select("doc_id", "text").mapInArrow(run, schema).collect())
+    root = list(range(len(rows)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    first: dict[tuple, int] = {}
+    for k, r in enumerate(rows):
+        for shared in [("id", r["doc_id"]), *enumerate(r["sketch"])]:
+            a, b = find(k), find(first.setdefault(shared, k))
+            root[max(a, b)] = min(a, b)
+    numbers = {r["doc_id"]: find(k) for k, r in enumerate(rows)}
+    table = sample.sparkSession.createDataFrame(list(numbers.items()), T.StructType([sample.schema["doc_id"], T.StructField("part", T.LongType())]))
+    return sample.join(F.broadcast(table), "doc_id")
+
+
+def _emit(rows: DataFrame, of_text, schema: str = "kind string, term string, y int, part long") -> DataFrame:
+    """(kind, term, y, part): the different findings of each labelled text, and its group of near-copies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = of_text()
         for batch in batches:
-            for text, y in zip(batch.column(0), batch.column(1), strict=True):
-                value = text.as_py() or ""
-                found = sorted(find(value))
+            for text, y, part in zip(*(batch.column(k) for k in range(3)), strict=True):
+                found = sorted(find(text.as_py() or ""))
                 if found:
                     kinds, terms = zip(*found, strict=True)
-                    labels = pa.array([y.as_py()] * len(found), pa.int32())
-                    sketch = pa.array([least_hashes(value)] * len(found), pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(terms), labels, sketch], names=["kind", "term", "y", "sketch"])
+                    labels, groups = pa.array([y.as_py()] * len(found), pa.int32()), pa.array([part.as_py()] * len(found), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(terms), labels, groups], names=["kind", "term", "y", "part"])
 
-    return rows.select("text", "y").mapInArrow(run, schema)
+    return rows.select("text", "y", "part").mapInArrow(run, schema)
 
 
 def _words_and_stems():
@@ -297,16 +334,15 @@ def _words_and_stems():
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """Toxic and all documents of each finding, by part of the sample.
+    """Toxic and all documents of each finding, and its toxic groups of near-copies ``apart``.
 
-    ``apart`` counts the toxic documents that aren't copies of one another: the least number of different hashes in any of the orders. Copies
-    share a part, and the third of the sample that is not chosen from gives ``proof_toxic`` and ``proof_docs``.
+    The third of the groups that is not chosen from gives ``proof_toxic`` and ``proof_docs``.
     """
-    proof = F.col("sketch")[0] % 3 == 0
-    sets = [F.size(F.collect_set(F.when((F.col("y") == 1) & ~proof, F.col("sketch")[k]))) for k in range(len(SKETCHES))]
-    return rows.groupBy("kind", "term").agg(
-        F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("docs"), F.least(*sets).alias("apart"),
-        F.coalesce(F.sum(F.when(proof, F.col("y"))), F.lit(0)).alias("proof_toxic"), F.count_if(proof).alias("proof_docs"),
+    proof = F.pmod(F.xxhash64("part"), F.lit(3)) == 0
+    by_part = rows.groupBy("kind", "term", "part").agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("docs"))
+    return by_part.groupBy("kind", "term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"), F.count_if(F.col("toxic") > 0).alias("apart"),
+        F.coalesce(F.sum(F.when(proof, F.col("toxic"))), F.lit(0)).alias("proof_toxic"), F.coalesce(F.sum(F.when(proof, F.col("docs"))), F.lit(0)).alias("proof_docs"),
     )
 
 
@@ -321,7 +357,7 @@ def _chosen(found: list, total: int, toxic: int, features: int) -> tuple[list[st
         return a * math.log(share / base) + ((n - a) * math.log((1 - share) / (1 - base)) if n > a else 0.0)
 
     def proven(r) -> bool:
-        return r["toxic"] / r["docs"] >= LEAST_SHARE and r["proof_toxic"] >= LEAST_SHARE * r["proof_docs"]
+        return r["toxic"] / r["docs"] >= LEAST_SHARE and r["proof_docs"] >= PROOF_DOCS and r["proof_toxic"] >= PROOF_SHARE * r["proof_docs"]
 
     strong = [r for r in found if proven(r) and evidence(r) >= math.log(max(2, features)) + 1]
     words = {r["term"]: r["toxic"] for r in strong if r["kind"] == "word"}
@@ -344,7 +380,7 @@ def _chosen(found: list, total: int, toxic: int, features: int) -> tuple[list[st
 def near_chance(toxic: int, docs: int, exact: float) -> float:
     """Probability of a misspelled learned term; below ``DOUBTFUL`` only where the sample holds false ones."""
     value = (toxic + NEAR_WEIGHT * NEAR_SHARE * exact) / (docs + NEAR_WEIGHT)
-    return value if toxic < docs else max(value, DOUBTFUL)
+    return min(value if toxic < docs else max(value, DOUBTFUL), NEAR_MOST)
 
 
 def learn(
@@ -353,6 +389,7 @@ def learn(
 ) -> Lexicon:
     """Lexicon from at most ``rows`` labelled documents outside the held-out fold."""
     sample = stored(labelled_sample(docs, labels, label, folds, held_out, rows, id_col, text), "labelled")
+    sample = stored(with_groups(sample), "grouped")
     totals = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("y")).first()
     total, toxic = totals["n"], totals["y"]
     terms, stems = list(SEEDS), []
@@ -372,7 +409,8 @@ def learn(
 
         return find
 
-    seen = {(r["kind"], r["term"]): (r["toxic"], r["docs"]) for r in _counts(_emit(sample, matches)).collect()}
+    # Copies of a toxic document speak for a match once.
+    seen = {(r["kind"], r["term"]): (r["apart"], r["docs"] - r["toxic"] + r["apart"]) for r in _counts(_emit(sample, matches)).collect()}
     base = (toxic + 1) / (total + 10)
     for kind in ("exact", "near", "front"):
         for term in lexicon.terms:
