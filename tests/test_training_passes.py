@@ -106,6 +106,34 @@ def test_trees_do_not_depend_on_the_layout(spark, drawn, monkeypatch):
             assert (getattr(m.trees, name) == getattr(models[0].trees, name)).all()
 
 
+def test_equal_rows_are_one_with_a_weight(spark, drawn, monkeypatch):
+    x, y = np.round(np.tile(drawn[0][:100], (8, 1))), np.tile(drawn[1][:100], 8)
+    sizes, spread = [], boosting._spread
+    monkeypatch.setattr(boosting, "_spread", lambda rows, *rest: sizes.append((rows.count(), rows.agg(F.sum("weight")).first()[0])) or spread(rows, *rest))
+    data = frame(spark, x, y)
+    one = training.train_trees(data, data, rounds=4, depth=3, early_stop=4)
+    grouped = boosting._binned
+    monkeypatch.setattr(boosting, "_binned", lambda entries, layout, priors, drawn: grouped(entries, layout, priors, True))
+    apart = training.train_trees(data, data, rounds=4, depth=3, early_stop=4)
+    assert sizes[0][0] <= 200 and sizes[0][1] == 1600 and sizes[1] == (1600, 1600)
+    assert one.losses == apart.losses
+    for name in ("feature", "cut", "value"):
+        assert (getattr(one.trees, name) == getattr(apart.trees, name)).all()
+
+
+def test_trees_of_few_columns_step_alike_for_equal_rows():
+    rng = np.random.Generator(np.random.PCG64(5))
+    trees = Trees.leaves(3, 4, 2)
+    trees.feature[..., :15], trees.cut[..., :15] = rng.integers(0, 2, (2, 3, 15)), rng.normal(size=(2, 3, 15))
+    trees.value[:] = rng.normal(size=trees.value.shape)
+    columns = np.round(rng.normal(size=(500, 2)))
+    together, alone = np.zeros((500, 3)), np.zeros((500, 3))
+    trees.add(together, columns, trees.used())
+    for i in range(500):
+        trees.add(alone[i : i + 1], columns[i : i + 1], trees.used())
+    assert (together == alone).all()
+
+
 def test_jobs_of_a_round_do_not_grow_with_classes(spark):
     counts = {}
     for classes in (2, 25):
