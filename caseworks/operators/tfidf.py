@@ -23,6 +23,8 @@ from caseworks.plans.stages import write_stage
 from caseworks.plans.topk import contenders
 
 MAX_VOCABULARY = 262_144
+#: Rows and bytes of text of a vocabulary that tasks hold whole, and characters of text that a task counts terms of.
+HELD_TERMS, HELD_BYTES, TASK_CHARS = 4_000_000, 64 << 20, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -56,13 +58,11 @@ def term_statistics(df: DataFrame, text: str, ngram_range=(1, 2), stop_words: Se
     Each text contributes its terms once per occurrence and once per distinct term, so
     no (document, term) pairs are shuffled to count document frequencies.
     """
-    marks = F.concat(
-        F.transform("_t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-        ),
-    )
-    exploded = with_terms(df.select(text), text, "_t", ngram_range, stop_words).select(F.inline(marks))
+    once = with_terms(df.select(text), text, "_t", ngram_range, stop_words)
+    # All terms, then the different ones.
+    exploded = once.select(F.size("_t").alias("_n"), F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_pos", "term"))
+    first = (F.col("_pos") < F.col("_n")).cast("long")
+    exploded = exploded.select("term", first.alias("tf"), (1 - first).alias("df"))
     return exploded.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
@@ -130,10 +130,22 @@ def tfidf_vocabulary(
 def tfidf_by_table(
     df: DataFrame, id_col: str, text: str, vocabulary: DataFrame, ngram_range: tuple[int, int] = (1, 2), stop_words: Sequence[str] = STOP_WORDS,
 ) -> DataFrame:
-    """Long form (id, term, weight) by a table (term, idf) of any size: (id, term) counts meet it by term, frequent terms salted."""
-    counts = with_terms(df.select(id_col, text), text, "_t", ngram_range, stop_words).select(id_col, F.explode("_t").alias("term"))
+    """Long form (id, term, weight) by a table (term, idf) of any size.
+
+    The texts are dealt out by id once, and (id, term) counts and lengths are made where they are. A vocabulary of at most ``HELD_TERMS``
+    rows and ``HELD_BYTES`` is broadcast; with a larger one the counts meet it by term, frequent terms salted, and go back by id.
+    """
+    chars = df.agg(F.sum(F.length(text))).first()[0] or 0
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-chars // TASK_CHARS))
+    dealt = df.select(id_col, text).repartition(parts, id_col)
+    counts = with_terms(dealt, text, "_t", ngram_range, stop_words).select(id_col, F.explode("_t").alias("term"))
     counts = counts.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = lookup_join(counts, vocabulary, ["term"], [id_col], "inner").withColumn("_w", F.col("tf") * F.col("idf"))
+    size = vocabulary.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes")).first()
+    if size["rows"] <= HELD_TERMS and size["bytes"] <= HELD_BYTES:
+        met = counts.join(F.broadcast(vocabulary), "term")
+    else:
+        met = lookup_join(counts, vocabulary, ["term"], [id_col], "inner")
+    weighted = met.withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(id_col)))
     return weighted.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
 

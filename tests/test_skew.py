@@ -160,3 +160,18 @@ def test_contenders_hold_the_top(skewed, k):
     order = [F.desc("n"), "k", "g"]
     assert left.orderBy(*order).limit(k).collect() == counts.orderBy(*order).limit(k).collect()
     assert k > 1 or left.count() == 1
+
+
+def test_table_tfidf_shuffles_texts_once_and_not_their_terms(spark, monkeypatch):
+    from caseworks.operators import tfidf
+
+    docs = [(k % 40 if k % 7 else None, " ".join(f"w{(k * j) % 23}" for j in range(1, 30))) for k in range(120)] + [(500, None), (501, "")]
+    docs = spark.createDataFrame(docs, "id long, text string").repartition(5)
+    vocabulary = tfidf.tfidf_vocabulary(docs, "text", max_features=50)
+    rows = lambda df: sorted((str(r["id"]), r["term"], round(r["weight"], 9)) for r in df.collect())
+    held = tfidf.tfidf_by_table(docs, "id", "text", vocabulary)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") == 1 and "Exchange hashpartitioning(term" not in plan, plan
+    monkeypatch.setattr(tfidf, "HELD_TERMS", 10)
+    met = tfidf.tfidf_by_table(docs, "id", "text", vocabulary)
+    assert rows(held) == rows(met) and len(rows(met)) > 100
