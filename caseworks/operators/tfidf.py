@@ -7,11 +7,12 @@ most frequent ones; the second turns each text into a sparse vector in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window as W
@@ -23,6 +24,8 @@ from caseworks.plans.stages import write_stage
 from caseworks.plans.topk import contenders
 
 MAX_VOCABULARY = 262_144
+#: Terms counted at a time.
+SLICE_TERMS = 1 << 21
 #: Rows and bytes of text of a vocabulary that tasks hold whole, and characters of text that a task counts terms of.
 HELD_TERMS, HELD_BYTES, TASK_CHARS = 4_000_000, 64 << 20, 4_000_000
 
@@ -52,18 +55,38 @@ class TfidfModel:
         return df.sparkSession.createDataFrame(rows, "idx int, term string")
 
 
+def term_counts(terms: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(term, occurrences, texts) of the different terms of texts, for so many texts at a time as have ``SLICE_TERMS`` terms (of one text at least)."""
+    ends = np.cumsum(terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype("int64"))
+    start = 0
+    while start < len(terms):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_TERMS, side="right")))
+        own = terms.slice(start, stop - start)
+        coded = own.flatten().dictionary_encode()
+        code = coded.indices.to_numpy().astype("int64")
+        size = len(coded.dictionary)
+        text = np.repeat(np.arange(stop - start), np.diff(ends[start:stop], prepend=before))
+        both = np.sort(text * size + code)
+        once = both[np.flatnonzero(np.diff(both, prepend=-1))] % max(size, 1)
+        yield coded.dictionary, np.bincount(code, minlength=size), np.bincount(once, minlength=size)
+        start = stop
+
+
 def term_statistics(df: DataFrame, text: str, ngram_range=(1, 2), stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """(term, tf, df) over the corpus in a single shuffle keyed by term.
 
-    Each text contributes its terms once per occurrence and once per distinct term, so
-    no (document, term) pairs are shuffled to count document frequencies.
+    Terms are counted by Arrow batches in the task that reads the texts, so a row is a different term of a batch
+    and no (document, term) pairs are made to count document frequencies.
     """
-    once = with_terms(df.select(text), text, "_t", ngram_range, stop_words)
-    # All terms, then the different ones.
-    exploded = once.select(F.size("_t").alias("_n"), F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_pos", "term"))
-    first = (F.col("_pos") < F.col("_n")).cast("long")
-    exploded = exploded.select("term", first.alias("tf"), (1 - first).alias("df"))
-    return exploded.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for term, tf, texts in term_counts(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([term, pa.array(tf, pa.int64()), pa.array(texts, pa.int64())], names=["term", "tf", "df"])
+
+    counted = with_terms(df.select(text), text, "_t", ngram_range, stop_words).select("_t").mapInArrow(run, "term string, tf long, df long")
+    return counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def fit_tfidf(

@@ -175,3 +175,26 @@ def test_table_tfidf_shuffles_texts_once_and_not_their_terms(spark, monkeypatch)
     monkeypatch.setattr(tfidf, "HELD_TERMS", 10)
     met = tfidf.tfidf_by_table(docs, "id", "text", vocabulary)
     assert rows(held) == rows(met) and len(rows(met)) > 100
+
+
+def test_terms_are_counted_before_they_leave_a_batch(spark, monkeypatch):
+    from collections import Counter
+
+    from caseworks.operators import tfidf
+
+    texts = [" ".join(f"w{(k * j) % 11}" for j in range(k % 9)) for k in range(60)] + [None, "", "one two one", "über Straße über"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    plan = tfidf.term_statistics(docs, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan, plan
+    expected = {}
+    for (t,) in tfidf.with_terms(docs, "text", "t", (1, 2), tfidf.STOP_WORDS).select("t").collect():
+        for term, n in Counter(t).items():
+            tf, df = expected.get(term, (0, 0))
+            expected[term] = (tf + n, df + 1)
+    for size in (1 << 21, 7):
+        monkeypatch.setattr(tfidf, "SLICE_TERMS", size)
+        assert {r["term"]: (r["tf"], r["df"]) for r in tfidf.term_statistics(docs, "text").collect()} == expected
+    import pyarrow as pa
+
+    parts = list(tfidf.term_counts(pa.array([["z"], ["a", "b", "a"], [], ["b"], ["c"] * 9, ["a"]]).slice(1)))
+    assert [(d.to_pylist(), tf.tolist(), n.tolist()) for d, tf, n in parts] == [(["a", "b"], [2, 2], [1, 2]), (["c"], [9], [1]), (["a"], [1], [1])]
