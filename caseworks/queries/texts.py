@@ -9,6 +9,7 @@ from caseworks.functions.vectors import cosine_distance, l2_norm, l2_normalize
 from caseworks.operators import embedding, sentiment, themes
 from caseworks.operators.tfidf import fit_tfidf, tfidf, tfidf_by_table, tfidf_vocabulary, vector_entries
 from caseworks.plans.bounded import lookup_join
+from caseworks.plans.stages import write_stage
 from caseworks.queries.common import document_vectors, r6, table
 from caseworks.queries.records import STRIP, WORDS
 
@@ -126,7 +127,8 @@ def kmeans_themes(spark, sf):
 def kmeans_tfidf(spark, sf):
     """The same for themes of texts, the distances added up term by term."""
     docs = _docs(spark, sf)
-    vectors = fit_tfidf(docs, "text", max_features=VOCABULARY).transform(docs, "text").drop("text")
+    # Read by the fit and by the distances below, so the texts are not turned into vectors twice.
+    vectors, _ = write_stage(fit_tfidf(docs, "text", max_features=VOCABULARY).transform(docs, "text").drop("text"), "vectors")
     assigned, centres = themes.kmeans_with_centres(vectors, "doc_id", "features", k=4)
     square = F.aggregate("centre", F.lit(0.0), lambda a, x: a + x * x)
     entries = vectors.select("doc_id", F.explode_outer(vector_entries("features")).alias("e")).select("doc_id", "e.idx", "e.w")

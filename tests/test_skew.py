@@ -198,3 +198,10 @@ def test_terms_are_counted_before_they_leave_a_batch(spark, monkeypatch):
 
     parts = list(tfidf.term_counts(pa.array([["z"], ["a", "b", "a"], [], ["b"], ["c"] * 9, ["a"]]).slice(1)))
     assert [(d.to_pylist(), tf.tolist(), n.tolist()) for d, tf, n in parts] == [(["a", "b"], [2, 2], [1, 2]), (["c"], [9], [1]), (["a"], [1], [1])]
+
+
+def test_distances_of_text_themes_read_vectors_and_not_texts(spark, sf):
+    from caseworks.queries.texts import kmeans_tfidf
+
+    plan = kmeans_tfidf(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan, plan
