@@ -121,6 +121,27 @@ def test_equal_rows_are_one_with_a_weight(spark, drawn, monkeypatch):
         assert (getattr(one.trees, name) == getattr(apart.trees, name)).all()
 
 
+def test_small_nodes_are_finished_in_one_job(spark, drawn, monkeypatch):
+    x, y = drawn
+    data = frame(spark, x, y)
+    models, jobs = [], []
+    for finish, dense, block in ((0, 1 << 22, 1 << 16), (0, 0, 20), (700, 1 << 22, 20), (1 << 21, 1 << 22, 1 << 16)):
+        for name, value in (("FINISH", finish), ("DENSE", dense), ("BLOCK", block)):
+            monkeypatch.setattr(boosting, name, value)
+        fit = lambda: training.train_trees(data, data, rounds=4, depth=5, early_stop=4)
+        model, n = jobs_of(spark, fit)
+        models.append(model)
+        jobs.append(n)
+        subsampled = training.train_trees(data, rounds=2, depth=4, subsample=0.6)
+        models[-1].drawn = subsampled.trees
+    for m in models[1:]:
+        assert m.losses == models[0].losses
+        for name in ("feature", "cut", "value"):
+            assert (getattr(m.trees, name) == getattr(models[0].trees, name)).all()
+            assert (getattr(m.drawn, name) == getattr(models[0].drawn, name)).all()
+    assert jobs[3] < jobs[2] < jobs[0] and jobs[0] - jobs[3] >= 4 * 4, jobs
+
+
 def test_trees_of_few_columns_step_alike_for_equal_rows():
     rng = np.random.Generator(np.random.PCG64(5))
     trees = Trees.leaves(3, 4, 2)
