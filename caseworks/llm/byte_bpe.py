@@ -45,8 +45,21 @@ def _encodings(rank_file: str, pattern: str):
     with open(rank_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     own = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    whole = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-    return own, whole
+    return own, Whole(ranks)
+
+
+class Whole:
+    """An encoding whose only piece is the whole text; few texts need it, so a worker builds it at the first of them."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.made = ranks, None
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        import tiktoken
+
+        if self.made is None:
+            self.made = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
+        return self.made.encode_ordinary(text)
 
 
 def pieces(text: str, limit: int = LONG) -> Iterator[str]:

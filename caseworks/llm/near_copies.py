@@ -44,6 +44,8 @@ BANDS, ROWS = 30, 5
 #: Hashes mixed at a time; a longer set is mixed in several parts.
 PART = 512
 SALTS = 16
+#: Hashes of sets in one batch that a task hands on, and texts sketched together.
+HELD, TEXTS = 1 << 18, 1024
 #: Bands in the longer keys, and texts of a bucket whose components are compared pair by pair.
 DEEPER, SMALL = (2, 4), 8
 #: Least share of equal bytes of two sketches.
@@ -93,7 +95,7 @@ def sketches(keyed: DataFrame, text: str = "text") -> DataFrame:
         import xxhash
 
         constants = mixers()
-        for batch in batches:
+        for batch in _parts(batches):
             names = batch.schema.names
             fp, n, bits, bands, least = [], [], [], [], []
             for value in batch.column(names.index(text)):
@@ -113,6 +115,13 @@ def sketches(keyed: DataFrame, text: str = "text") -> DataFrame:
     return map_batches(keyed, run, schema)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``TEXTS`` rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(start, TEXTS)
+
+
 def shingle_sets(texts: DataFrame) -> DataFrame:
     """(fp, shingles): the hashes of the different shingles of each ``text``."""
     schema = T.StructType([T.StructField("fp", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
@@ -121,8 +130,14 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
         import numpy as np
 
         for batch in batches:
-            sets = [np.unique(simhash.shingle_hashes(v.as_py() or "", SHINGLE)).view("int64").tolist() for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
+            start, held, sets = 0, 0, []
+            for row in range(batch.num_rows):
+                sets.append(np.unique(simhash.shingle_hashes(batch.column(1)[row].as_py() or "", SHINGLE)).view("int64"))
+                held += len(sets[-1])
+                if held >= HELD or row + 1 == batch.num_rows:
+                    offsets = np.cumsum([0, *map(len, sets)]).astype("int32")
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(sets)), pa.ListArray.from_arrays(offsets, np.concatenate(sets))], names=schema.names)
+                    start, held, sets = row + 1, 0, []
 
     return map_batches(texts.select("fp", "text"), run, schema)
 

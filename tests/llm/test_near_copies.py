@@ -72,3 +72,38 @@ def test_sketches_estimate_the_similarity():
         assert abs((one == two).mean() - exact) < 0.14
         assert (one == two).sum() <= ((one >> np.uint64(40)).astype("uint8") == (two >> np.uint64(40)).astype("uint8")).sum()
     assert near_copies.least_hashes(np.empty(0, "uint64"), *constants) is None and near_copies.band_keys(None) == []
+
+
+def test_sets_and_sketches_leave_a_task_in_bounded_batches(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    runs = []
+    monkeypatch.setattr(near_copies, "map_batches", lambda df, run, schema: runs.append(run) or df)
+    monkeypatch.setattr(near_copies, "HELD", 1_000)
+    monkeypatch.setattr(near_copies, "TEXTS", 50)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(k % 90)) for k in range(120)] + [None]
+    empty = spark.createDataFrame([], "fp long, text string")
+    near_copies.shingle_sets(empty)
+    near_copies.sketches(empty.select("fp", "text"))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["fp", "text"])
+    sets = list(runs[0](iter([batch, batch.slice(0, 0)])))
+    assert len(sets) > 3 and max(len(b.column(1).flatten()) for b in sets) < 1_000 + 90
+    rows = [r for b in sets for r in b.to_pylist()]
+    assert [r["fp"] for r in rows] == list(range(len(texts)))
+    for r, text in zip(rows, texts, strict=True):
+        assert r["shingles"] == np.unique(near_copies.simhash.shingle_hashes(text or "", near_copies.SHINGLE)).view("int64").tolist()
+    assert [b.num_rows for b in runs[1](iter([batch]))] == [50, 50, 21]
+
+
+def test_few_texts_need_the_encoding_of_whole_texts():
+    import public_tokenizers
+
+    from caseworks.llm import byte_bpe
+
+    byte_bpe._encodings.cache_clear()
+    own, whole = byte_bpe._encodings(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert byte_bpe.text_ids("a plain text " * 9_000, own, whole) and whole.made is None
+    wide = "a" + " " * byte_bpe.GAP_LIMIT + " b"
+    assert own.decode_bytes(byte_bpe.text_ids(wide, own, whole)) == wide.encode() and whole.made is not None
