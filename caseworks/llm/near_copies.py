@@ -12,13 +12,13 @@ s, which is 7 in a million at 0.8 and less above.
 **Stars.** A text weighs what its bands' buckets hold together, so the text nearest to the middle of a family of copies weighs most. In
 each bucket every text is checked with the heaviest one. That is one pair for each text and band, whatever the size of the group.
 
-**What stars leave apart.** Buckets that still hold several components are taken apart by longer keys (``DEEPER`` bands following
-one another), one length after the other as long as they hold more than ``SMALL`` texts: in each of these buckets, and in the first ones if they have at most ``SMALL`` texts, those outside the largest
-component are checked with every text of another component if there are at most ``SMALL`` texts, and with the heaviest text otherwise. So the number of pairs grows with
-the rows, never with the square of a family. Missed is a text whose only similar texts share its long keys with more than ``SMALL`` others and aren't the
-heaviest there; ``thorough=True`` checks, in every bucket, all texts outside the largest component with all of other components, at the price of that square.
+**What stars leave apart.** In a bucket that still holds several components, every text outside the largest one is checked with every text of
+another component, so no similar pair that shares a bucket stays apart. Buckets of at most ``SMALL`` texts give pairs. Fuller ones are cut into
+blocks of about ``HELD`` hashes; a task counts what a block of texts shares with a block of those outside, exactly and on the sets themselves, and
+hands on at most one link of a text for each component. Memory is that of two blocks whatever the size of the bucket, and no row is made for a pair; the counting
+itself takes the square of what a bucket holds outside its largest component.
 
-**Verification.** Each pair is checked once: first by comparing ``BANDS`` x ``ROWS`` least hashes, one byte each, where a similarity of
+**Verification.** Each pair of a star or a small bucket is checked once: first by comparing ``BANDS`` x ``ROWS`` least hashes, one byte each, where a similarity of
 four standard deviations below ``SIMILAR`` drops it, then exactly on the sets. Only links whose exact similarity suffices count.
 
 Null and empty texts have the empty set and are one node; null ids and repeated rows
@@ -28,7 +28,6 @@ are treated as in ``simhash.keep_one``. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,11 +42,10 @@ SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 30, 5
 #: Hashes mixed at a time; a longer set is mixed in several parts.
 PART = 512
-SALTS = 16
-#: Hashes of sets in one batch that a task hands on, and texts sketched together.
+#: Hashes of sets in one batch that a task hands on and in a block of a full bucket, and texts sketched together.
 HELD, TEXTS = 1 << 18, 1024
-#: Bands in the longer keys, and texts of a bucket whose components are compared pair by pair.
-DEEPER, SMALL = (2, 4), 8
+#: Texts of a bucket whose components are compared as pairs.
+SMALL = 8
 #: Least share of equal bytes of two sketches.
 LIKELY = SIMILAR - 4 * (SIMILAR * (1 - SIMILAR) / (BANDS * ROWS)) ** 0.5
 
@@ -189,19 +187,50 @@ def _mixed(members: DataFrame) -> DataFrame:
     return spread_lookup(members, mixed, "key", "fp").filter(F.col("main").isNotNull())
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``rows`` (key, fp, n, root, main): each outside its bucket's largest component with all of other components."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
-    apart = rows.filter(F.col("root") != F.col("main")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    x, y = salted.alias("x"), apart.alias("y")
-    return x.join(
-        y,
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.root") != F.col("y.root")) & _may_be("x.n", "y.n"),
-    ).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+def _across(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of ``rows`` (key, fp, n, root, main): each outside its bucket's largest component with one similar text of every other component that has any."""
+    apart = F.col("root") != F.col("main")
+    cells = F.sum("n").alias("x_parts"), F.sum(F.when(apart, F.col("n")).otherwise(0)).alias("y_parts")
+    parts = rows.groupBy("key").agg(*cells).select("key", *[F.ceil(F.col(c) / HELD).alias(c) for c in ("x_parts", "y_parts")])
+    dealt = spread_lookup(rows, parts, "key", "fp").join(sets, "fp")
+
+    def side(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """``rows`` in their own block of one side, once for each block of the other one."""
+        block = F.pmod(F.xxhash64("fp"), F.col(f"{own}_parts")).alias(own)
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_parts") - 1)).alias(other)
+        return rows.select("key", block, each, F.lit(own == "y").alias("apart"), "fp", "root", "shingles").select("key", "x", "y", "apart", "fp", "root", "shingles")
+
+    blocks = side(dealt, "x", "y").union(side(dealt.filter(apart), "y", "x"))
+    return blocks.groupBy("key", "x", "y").applyInArrow(_block_links, "a long, b long")
+
+
+def _block_links(group: pa.Table) -> pa.Table:
+    """Similar texts (a, b) of different components in one block of a bucket: each of those ``apart`` with one text of each component."""
+    import numpy as np
+
+    apart, fp, root = (group.column(c).to_numpy() for c in ("apart", "fp", "root"))
+    lists = group.column("shingles").combine_chunks()
+    lengths = lists.value_lengths().to_numpy()
+    different, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    ends = np.cumsum(lengths)
+    to, sizes = np.flatnonzero(~apart), lengths[~apart]
+    flat, starts = place[np.repeat(~apart, lengths)], np.cumsum(sizes) - sizes
+    held = np.zeros(len(different), "uint8")
+    a, b = [np.empty(0, "int64")], [np.empty(0, "int64")]
+    for row in np.flatnonzero(apart) if len(to) else ():
+        own = place[ends[row] - lengths[row] : ends[row]]
+        held[own] = 1
+        shared = np.add.reduceat(held[flat], starts, dtype="int64")
+        held[own] = 0
+        near = to[(shared >= SIMILAR * (sizes + lengths[row] - shared)) & (root[to] != root[row])]
+        _, first = np.unique(root[near], return_index=True)
+        a.append(np.full(len(first), fp[row]))
+        b.append(fp[near[first]])
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 def _within_small(rows: DataFrame) -> DataFrame:
-    """As ``_across`` for buckets of at most ``SMALL`` rows, from their gathered members."""
+    """Pairs (a, b) of ``rows`` (key, fp, n, root, main) in buckets of at most ``SMALL``: each outside the largest component with all of other components."""
     member = F.struct("fp", "n", "root")
     gathered = rows.groupBy("key").agg(F.collect_list(member).alias("all"), F.first("main").alias("main"))
     one = gathered.select("all", F.inline(F.filter("all", lambda m: m["root"] != F.col("main"))))
@@ -210,7 +239,10 @@ def _within_small(rows: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, texts: DataFrame, thorough: bool = False) -> DataFrame:
-    """Links (a, b), enough to connect the similar ones of ``nodes`` (fp, first, n, bits, bands, sketch); ``texts`` (id, hash, text) has the first of each."""
+    """Links (a, b), enough to connect the similar ones of ``nodes`` (fp, first, n, bits, bands, sketch); ``texts`` (id, hash, text) has the first of each.
+
+    ``thorough``: small buckets, too, are compared on the sets alone, without sketches.
+    """
     prints = stored(nodes.groupBy("bits").agg(F.min("fp").alias("least")), "fingerprints")
     lead = prints.toDF("a_bits", "a"), prints.toDF("b_bits", "b")
     near = simhash.fingerprint_links(prints.select(F.col("bits").alias("fp"))).toDF("a_bits", "b_bits")
@@ -231,23 +263,11 @@ def links(nodes: DataFrame, texts: DataFrame, thorough: bool = False) -> DataFra
     roots = components(found)
     marked = met.join(roots, met["fp"] == roots["node"], "left").select("key", "fp", "n", "band", "weight", F.coalesce("root", "fp").alias("root"))
     open_rows = stored(_mixed(marked), "open")
+    open_rows = open_rows.select("key", "fp", "n", "root", "main", "held")
     if thorough:
-        return found.union(_similar(_across(open_rows), nodes, sets))
-    columns = ["key", "fp", "n", "root", "main"]
-    more = [_within_small(open_rows.filter(F.col("held") <= SMALL).select(*columns))]
-    bands = F.concat("bands", "bands")
-    longer = F.array(*[F.xxhash64(F.lit(length), F.col("band"), F.slice(bands, F.col("band") + 1, length)) for length in DEEPER])
-    rows = open_rows.filter(F.col("held") > SMALL).select("fp", "n", "band", "weight", "root").join(nodes.select("fp", "bands"), "fp")
-    rows = rows.select("fp", "n", "weight", "root", longer.alias("longer"))
-    for level in range(len(DEEPER)):
-        # Only what still shares its bucket with many goes on to the next longer key.
-        deep = stored(_mixed(rows.withColumn("key", F.col("longer")[level])), "deeper")
-        more.append(_within_small(deep.filter(F.col("held") <= SMALL).select(*columns)))
-        full = deep.filter(F.col("held") > SMALL)
-        led = _led(full, "fp", "n", "root").filter((F.col("root") != F.col("lead_root")) & _may_be("n", "lead_n"))
-        more.append(led.select(F.col("lead_fp").alias("a"), F.col("fp").alias("b")))
-        rows = full.select("fp", "n", "weight", "root", "longer")
-    return found.union(_similar(reduce(DataFrame.union, more), nodes, sets))
+        return found.union(_across(open_rows, sets))
+    few = _similar(_within_small(open_rows.filter(F.col("held") <= SMALL)), nodes, sets)
+    return found.union(few).union(_across(open_rows.filter(F.col("held") > SMALL), sets))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thorough: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseworks.llm import near_copies
 from .test_pipeline import kept_of_similar
@@ -59,6 +60,28 @@ def test_links_equal_brute_force_nearly(spark):
     assert thorough == expected
 
 
+@pytest.mark.parametrize("held", (near_copies.HELD, 500))
+def test_full_buckets_lose_no_link(spark, monkeypatch, held):
+    monkeypatch.setattr(near_copies, "HELD", held)
+    sketches = near_copies.sketches
+    same = F.array_repeat(F.lit(7).cast("long"), near_copies.BANDS)
+    monkeypatch.setattr(near_copies, "sketches", lambda keyed, text="text": sketches(keyed, text).withColumn("bands", same))
+    rng = random.Random(7)
+    texts = [t for _ in range(20) for t in family(rng, 2, edits=1)]
+    expected = kept_of_similar(dict(enumerate(texts)))
+    assert len(expected) < 30
+    assert sorted(r[0] for r in near_copies.keep_one(frame(spark, texts)).collect()) == expected
+
+
+def test_a_block_gives_one_link_for_each_component():
+    import pyarrow as pa
+
+    rows = [(1, 1, range(100)), (2, 1, range(1, 101)), (3, 3, range(200, 300)), (4, 4, range(5, 105)), (5, 5, range(60, 160))]
+    group = [dict(fp=f, root=r, shingles=list(s), apart=a) for a in (False, True) for f, r, s in rows if not a or r != 1]
+    found = near_copies._block_links(pa.Table.from_pylist(group)).to_pylist()
+    assert [(r["a"], r["b"]) for r in found] == [(4, 1)]
+
+
 def test_sketches_estimate_the_similarity():
     import numpy as np
 
