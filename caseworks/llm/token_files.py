@@ -32,16 +32,18 @@ from pyspark.sql import types as T
 
 from caseworks.llm.common import named
 
-#: Different spellings whose ids a worker remembers, and twice as many words.
-MEMORY = 250_000
+#: Different words whose ids a worker remembers.
+MEMORY = 500_000
 #: Signs that end a part: of one kind for the tokenizer, and not the apostrophe, which may begin a piece with letters.
 SIGNS = ".,;:!?#$%&*|()[]"
 #: What the tokenizer writes at the end of a piece's last token, and the words of one call to it.
 WORD_END, LINE = "</w>", 2048
 #: Letters before this one are composed, and lower-cased one by one.
 LATIN_END = "\u0250"
+#: Such letters but for the dotted capital I, whose small form has two signs: Arrow and Python lower them alike.
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
 #: Bytes of text encoded together.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 4 << 20
 #: Settings of the files: row groups of 32 MB, pages of 256 KB or 2000 rows.
 LAYOUT = {
     "compression": "zstd",
@@ -64,14 +66,14 @@ class WordMemory:
     the other: the tokenizer's pieces never hold white space, and neither lower
     casing nor composing of characters reaches across it. A part of letters followed
     by signs is in turn the letters, then the signs, and letters of the Latin blocks
-    may be lower-cased beforehand, so that one word serves all its spellings.
+    may be lower-cased beforehand, so that one word serves all its spellings. Arrow
+    splits texts and parts; Python sees each different word of a group once.
     """
 
     def __init__(self, tokenizer, limit: int = MEMORY):
         self.tokenizer, self.limit = tokenizer, limit
         self.last = np.zeros(tokenizer.get_vocab_size(), bool)
         self.last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
-        self.parts: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {"": b""}
 
     def split(self, part: str) -> tuple[str, str]:
@@ -98,11 +100,12 @@ class WordMemory:
         each = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in each]
 
-    def learn(self, fresh: list[str]) -> None:
-        if len(self.units) > 2 * self.limit:
+    def learned(self, units: list[str]) -> list[bytes]:
+        """Packed ids of ``units``, those not met lately from the tokenizer."""
+        new = [u for u in dict.fromkeys(units) if u not in self.units]
+        if len(self.units) + len(new) > self.limit:
             self.units = {"": b""}
-        split = [self.split(p) for p in fresh]
-        new = [u for u in dict.fromkeys(x for both in split for x in both) if u and u not in self.units]
+            new = [u for u in dict.fromkeys(units) if u]
         single = [u for u in new if u.isalpha() or not u.strip(SIGNS)]
         others = [u for u in new if not (u.isalpha() or not u.strip(SIGNS))]
         for start in range(0, len(single), LINE):
@@ -110,19 +113,36 @@ class WordMemory:
             self.units.update(zip(some, self.encoded(some), strict=True))
         each = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
         self.units.update((u, array("I", e.ids).tobytes()) for u, e in zip(others, each, strict=True))
-        units = self.units
-        self.parts.update((p, units[core] + units[signs]) for p, (core, signs) in zip(fresh, split, strict=True))
+        return list(map(self.units.__getitem__, units))
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Packed ids of some texts, whose new words are learned together."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = [p for p in set().union(*split) if p not in self.parts]
-        if len(self.parts) + len(fresh) > self.limit:
-            self.parts = {}
-            fresh = list(set().union(*split))
-        self.learn(fresh)
-        known = self.parts.__getitem__
-        return [b"".join(map(known, parts)) for parts in split]
+        words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        parts = coded.dictionary
+        cores = pc.utf8_rtrim(parts, characters=SIGNS)
+        plain = pc.match_substring_regex(cores, LETTERS + "$")
+        split = [self.split(p) for p in parts.filter(pc.invert(plain)).to_pylist()]
+        core, signs = (
+            pa.concat_arrays([easy, pa.array(hard, pa.string())]).dictionary_encode()
+            for easy, hard in (
+                (pc.utf8_lower(cores.filter(plain)), [c for c, _ in split]),
+                (pc.replace_substring_regex(parts.filter(plain), LETTERS, ""), [s for _, s in split]),
+            )
+        )
+        found = self.learned([*core.dictionary.to_pylist(), *signs.dictionary.to_pylist()])
+        lengths = np.fromiter(map(len, found), "int64", len(found)) // 4
+        ids = pa.array(np.frombuffer(b"".join(found), "<u4"))
+        ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]).astype("int32"), ids)
+        both = np.stack([core.indices.to_numpy(), signs.indices.to_numpy() + len(core.dictionary)], 1)
+        easy = plain.to_numpy(zero_copy_only=False)
+        place = np.concatenate([np.flatnonzero(easy), np.flatnonzero(~easy)])
+        units = np.empty_like(both)
+        units[place] = both
+        units = units[coded.indices.to_numpy()].ravel()
+        ends = np.concatenate([[0], 4 * np.cumsum(lengths[units])])[2 * words.offsets.to_numpy().astype("int64")].tolist()
+        raw = ids.take(pa.array(units)).flatten().to_numpy().tobytes()
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 @lru_cache(maxsize=1)

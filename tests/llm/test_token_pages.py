@@ -74,3 +74,16 @@ def test_word_memory_equals_the_tokenizer_on_odd_signs():
         (found,) = memory.packed([text])
         expected = b"".join(i.to_bytes(4, "little") for i in memory.tokenizer.encode(text, add_special_tokens=False).ids)
         assert found == expected, repr(text)
+
+
+def test_plain_words_are_split_without_python(monkeypatch):
+    memory = token_files._memory(WORD_BPE)
+    seen = []
+    split = token_files.WordMemory.split
+    monkeypatch.setattr(token_files.WordMemory, "split", lambda self, part: seen.append(part) or split(self, part))
+    texts = ["Plain words, Größe!! ABC&&& don't", "", "İx plain\nWords"]
+    found = memory.packed(texts)
+    assert set(seen) == {"", "don't", "İx"}
+    for text, ids in zip(texts, found, strict=True):
+        assert ids == b"".join(i.to_bytes(4, "little") for i in memory.tokenizer.encode(text, add_special_tokens=False).ids)
+    assert memory.packed([]) == [] and memory.packed(["", "\n"]) == [b"", b""]
