@@ -142,6 +142,28 @@ def test_small_nodes_are_finished_in_one_job(spark, drawn, monkeypatch):
     assert jobs[3] < jobs[2] < jobs[0] and jobs[0] - jobs[3] >= 4 * 4, jobs
 
 
+def test_only_the_smaller_child_is_added_up(spark, drawn, monkeypatch):
+    x, y = drawn
+    data = frame(spark, x, y)
+    asked, histograms = [], boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda *args: asked.append({(k, n) for k, nodes in args[5].items() for n in nodes}) or histograms(*args))
+    monkeypatch.setattr(boosting, "FINISH", 0)
+    models, levels = [], []
+    for least, dense, block in ((1 << 60, 1 << 22, 1 << 16), (0, 1 << 22, 1 << 16), (0, 0, 20)):
+        for name, value in (("KEPT_FROM", least), ("DENSE", dense), ("BLOCK", block), ("PACK", 100)):
+            monkeypatch.setattr(boosting, name, value)
+        models.append(training.train_trees(data, data, rounds=2, depth=4, early_stop=2))
+        levels.append(list(asked))
+        asked.clear()
+    for m in models[1:]:
+        assert m.losses == models[0].losses
+        for name in ("feature", "cut", "value"):
+            assert (getattr(m.trees, name) == getattr(models[0].trees, name)).all()
+    siblings = [sum((k, n + 1) in nodes for k, n in nodes if n % 2) for nodes in (set().union(*level) for level in levels)]
+    assert siblings[0] > 0 and siblings[1] < siblings[0]
+    assert all(not any(n % 2 and (k, n + 1) in nodes for k, n in nodes) for level in levels[1:] for nodes in level)
+
+
 def test_trees_of_few_columns_step_alike_for_equal_rows():
     rng = np.random.Generator(np.random.PCG64(5))
     trees = Trees.leaves(3, 4, 2)
