@@ -150,6 +150,17 @@ def test_numbers(spark):
     assert values(df.select(clean.to_number("s", None).alias("n")), "n")[1] == (None,)
 
 
+def test_numbers_of_numeric_columns_take_no_way_over_text(spark):
+    rows = [(1, 2**53 + 1, 0.1, 0.1, "7"), (None, None, None, None, None), (-3, -5, float("nan"), float("nan"), "x"), (0, 2**62 + 1, float("inf"), 1e-40, "1e3"), (1, 1, -0.0, 16777217.0, "")]
+    df = spark.createDataFrame(rows, "i int, l long, d double, f float, s string")
+    block = features.numeric_block(df, df.columns, "_num")
+    asked = [f"{c}_num" for c in df.columns]
+    by_text = df.select(*[clean.to_number(c).alias(f"{c}_num") for c in df.columns])
+    assert [str(r) for r in block.select(*asked).collect()] == [str(r) for r in by_text.collect()]
+    plan = block.select("i_num", "l_num", "d_num")._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in plan
+
+
 def test_valid_target(spark):
     df = spark.createDataFrame([(x,) for x in ("nan", "None", " NULL ", "0", "0.0", "60537", None, "")], "s string")
     plain = [r[0] for r in df.select(clean.valid_target("s")).collect()]

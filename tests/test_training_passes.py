@@ -5,12 +5,13 @@ import uuid
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, OneVsRest
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseworks.operators import boosting, training
 from caseworks.operators.boosting import LEAST_CURVE, RIDGE, STEPS, Bins, Trees, best_split
-from caseworks.plans.stages import VectorBatch
+from caseworks.plans.stages import VectorBatch, flat_vector
 
 
 def jobs_of(spark, run):
@@ -164,6 +165,16 @@ def test_only_the_smaller_child_is_added_up(spark, drawn, monkeypatch):
     assert all(not any(n % 2 and (k, n + 1) in nodes for k, n in nodes) for level in levels[1:] for nodes in level)
 
 
+def test_flat_vectors_hold_the_same_entries(spark):
+    vectors = [Vectors.dense([1.5, 0.0, -2.0]), None, Vectors.sparse(9, {}), Vectors.sparse(9, {0: 0.0, 4: 3.0, 8: -1.0}), Vectors.dense([]), Vectors.dense([0.0, 7.0]), Vectors.sparse(3, {2: 1.0})]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(vectors)], T.StructType([T.StructField("id", T.IntegerType()), T.StructField("features", VectorUDT())]))
+    table = df.coalesce(1).orderBy("id").select(flat_vector("features").alias("flat")).toArrow()
+    assert str(table.schema.field("flat").type) == "list<element: double>"
+    flat = VectorBatch(table["flat"])
+    assert flat.rows == 7 and flat.row.tolist() == [0, 0, 3, 3, 5, 6]
+    assert flat.index.tolist() == [0, 2, 4, 8, 1, 2] and flat.value.tolist() == [1.5, -2.0, 3.0, -1.0, 7.0, 1.0]
+
+
 def test_trees_of_few_columns_step_alike_for_equal_rows():
     rng = np.random.Generator(np.random.PCG64(5))
     trees = Trees.leaves(3, 4, 2)
