@@ -143,6 +143,22 @@ def test_small_nodes_are_finished_in_one_job(spark, drawn, monkeypatch):
     assert jobs[3] < jobs[2] < jobs[0] and jobs[0] - jobs[3] >= 4 * 4, jobs
 
 
+def test_nodes_whose_rows_are_all_zero(spark, monkeypatch):
+    y = np.repeat(np.arange(4), 40)
+    x = np.where(y == 3, 5.0, y)[:, None]
+    x = np.concatenate([x, (y == 2)[:, None] * 2.0], 1)
+    data = frame(spark, x, y, parts=1).sortWithinPartitions("label")
+    models = []
+    for finish, dense, pack, waiting in ((1 << 21, 1 << 22, 1 << 18, 1 << 22), (0, 1 << 22, 1 << 18, 1 << 22), (0, 1 << 22, 1, 0), (0, 0, 1, 0)):
+        for name, value in (("FINISH", finish), ("DENSE", dense), ("PACK", pack), ("WAITING", waiting)):
+            monkeypatch.setattr(boosting, name, value)
+        models.append(training.train_trees(data, rounds=3, depth=4, subsample=0.9))
+    assert training.holdout_accuracy(models[0], data) == 1.0
+    for m in models[1:]:
+        for name in ("feature", "cut", "value"):
+            assert (getattr(m.trees, name) == getattr(models[0].trees, name)).all()
+
+
 def test_only_the_smaller_child_is_added_up(spark, drawn, monkeypatch):
     x, y = drawn
     data = frame(spark, x, y)
