@@ -78,6 +78,15 @@ def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTyp
     return T.StructType([*kept, T.StructField(name, kind)])
 
 
+def by_shuffle(table: DataFrame) -> DataFrame:
+    """``table`` for a join that deals both sides out by key, whatever size Spark expects.
+
+    Spark sizes what stands above an ``explode`` by the rows below it, and a stored table by its compressed files, so without this it
+    broadcasts tables many times its bound, which the driver has to hold.
+    """
+    return table.hint("merge")
+
+
 def spread_lookup(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
     """``rows`` left-joined with ``table`` (one row per ``key``), a hot key spread over ``salts`` tasks.
 
@@ -89,7 +98,7 @@ def spread_lookup(rows: DataFrame, table: DataFrame, key: str, by: str, salts: i
     (salt,) = private(rows, "salt")
     salted = rows.withColumn(salt, F.pmod(F.xxhash64(named(by)), F.lit(salts)).cast("int"))
     present = salted.select(key, salt).distinct()
-    return salted.join(present.join(table, key), [key, salt], "left").drop(salt)
+    return salted.join(by_shuffle(present.join(by_shuffle(table), key)), [key, salt], "left").drop(salt)
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:

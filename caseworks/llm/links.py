@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.llm.common import stored
+from caseworks.llm.common import by_shuffle, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,12 +24,12 @@ def components(edges: DataFrame) -> DataFrame:
     both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
     labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "root")
+        near = both.join(by_shuffle(labels), both["b"] == labels["node"]).select(F.col("a").alias("node"), "root")
         lower = near.union(labels).groupBy("node").agg(F.min("root").alias("root"))
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        after = lower.join(jump, "root").select("node", F.least("root", "next").alias("root"))
+        after = lower.join(by_shuffle(jump), "root").select("node", F.least("root", "next").alias("root"))
         after = stored(after, "labels")
-        changed = after.join(labels.withColumnRenamed("root", "was"), "node").filter(F.col("root") != F.col("was")).limit(1)
+        changed = after.join(by_shuffle(labels.withColumnRenamed("root", "was")), "node").filter(F.col("root") != F.col("was")).limit(1)
         labels = after
         if not changed.count():
             return labels

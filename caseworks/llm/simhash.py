@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseworks.llm.common import map_batches, named, private, row_key, same_key, spread_lookup, stored, with_field
+from caseworks.llm.common import by_shuffle, map_batches, named, private, row_key, same_key, spread_lookup, stored, with_field
 from caseworks.llm.links import components
 
 SEED = 42
@@ -139,7 +139,7 @@ def fingerprint_links(different: DataFrame, max_bits: int = 2, bucket: int = BUC
     sizes = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     met = stored(spread_lookup(filed, sizes, "key", "fp").filter(F.col("n").isNotNull()), "buckets")
     pairs = met.filter(F.col("n") <= bucket).select("key", "bit", "fp")
-    left, right = pairs.alias("l"), pairs.alias("r")
+    left, right = pairs.alias("l"), by_shuffle(pairs.alias("r"))
     near = left.join(
         right,
         (F.col("l.key") == F.col("r.key"))
@@ -152,10 +152,10 @@ def fingerprint_links(different: DataFrame, max_bits: int = 2, bucket: int = BUC
     values = full.select("fp", F.explode(F.array(*around)).alias("value"))
     if max_bits == 1:  # two that differ in one bit: one of them is the value itself
         own = full.select(F.col("fp").alias("value"), F.col("fp").alias("a"))
-        ring = values.join(own, "value").select("a", F.col("fp").alias("b"))
+        ring = values.join(by_shuffle(own), "value").select("a", F.col("fp").alias("b"))
     else:
         first = values.groupBy("value").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        ring = values.join(first, "value").select("a", F.col("fp").alias("b"))
+        ring = values.join(by_shuffle(first), "value").select("a", F.col("fp").alias("b"))
     return near.union(ring).filter(F.col("a") != F.col("b"))
 
 
@@ -169,7 +169,7 @@ def near_duplicates(
     )
     smallest = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "different")
     roots = components(fingerprint_links(smallest.select("fp"), max_bits, bucket))
-    of = smallest.join(roots, smallest["fp"] == roots["node"], "left").select(
+    of = smallest.join(by_shuffle(roots), smallest["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -197,9 +197,9 @@ def keep_first(docs: DataFrame, first: DataFrame, links: DataFrame, id_col: str,
     """``docs`` with the first row of each component of ``links``; ``first`` has the first row (none, id, hash) of each node ``fp``."""
     names = key_id, key_text = private(docs, "id", "hash")
     roots = components(links)
-    of = first.join(roots, first["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    of = first.join(by_shuffle(roots), first["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
     winners = of.groupBy("root").agg(F.min("first").alias("first"))
     chosen = winners.select(F.col("first.id").alias(key_id), F.col("first.hash").alias(key_text))
     full = docs.withColumns(dict(zip(names, row_key(id_col, text, names), strict=True)))
-    kept = full.join(chosen, same_key(full, chosen, names), "left_semi")
+    kept = full.join(by_shuffle(chosen), same_key(full, chosen, names), "left_semi")
     return kept.dropDuplicates(names).drop(*names)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from caseworks.llm import near_copies
+from caseworks.llm import common, decontamination, line_dedup, links, near_copies, simhash
 from .test_pipeline import kept_of_similar
 
 
@@ -130,3 +130,25 @@ def test_few_texts_need_the_encoding_of_whole_texts():
     assert byte_bpe.text_ids("a plain text " * 9_000, own, whole) and whole.made is None
     wide = "a" + " " * byte_bpe.GAP_LIMIT + " b"
     assert own.decode_bytes(byte_bpe.text_ids(wide, own, whole)) == wide.encode() and whole.made is not None
+
+
+@pytest.fixture
+def planned(monkeypatch):
+    """Function that notes a table's plan, and the plans noted so far, those of stored tables included."""
+
+    def planned(df):
+        planned.plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    planned.plans = []
+    for module in (common, links, line_dedup, near_copies, simhash):
+        monkeypatch.setattr(module, "stored", lambda df, label, write=common.stored: write(planned(df), label))
+    return planned
+
+
+def test_fingerprint_joins_do_not_rely_on_the_size_spark_expects(spark, planned):
+    docs = frame(spark, [*family(random.Random(4), 50), *family(random.Random(5), 5, edits=2)])
+    planned(simhash.near_duplicates(docs))
+    planned(simhash.keep_one(docs, max_bits=1, bucket=1))
+    assert not [plan for plan in planned.plans if "Broadcast" in plan]
+    assert sum("SortMergeJoin" in plan for plan in planned.plans) >= 8
