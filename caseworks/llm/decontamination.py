@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.llm.common import let, named, private, row_key, same_key
+from caseworks.llm.common import by_shuffle, let, named, private, row_key, same_key
 
 WINDOW = 15
 SIMILARITY = 0.8
@@ -195,4 +195,4 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id
     found = overlaps(docs, items, id_col=id_col, text=text, **how)
     found = found.select(F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])).distinct()
     full = docs.withColumns(dict(zip(names, row_key(id_col, text, names), strict=True)))
-    return full.join(found, same_key(full, found, names), "left_anti").drop(*names)
+    return full.join(by_shuffle(found), same_key(full, found, names), "left_anti").drop(*names)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseworks.llm import simhash
-from caseworks.llm.common import map_batches, named, private, row_key, spread_lookup, stored
+from caseworks.llm.common import by_shuffle, map_batches, named, private, row_key, spread_lookup, stored
 from caseworks.llm.links import components
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -192,7 +192,7 @@ def _across(rows: DataFrame, sets: DataFrame) -> DataFrame:
     apart = F.col("root") != F.col("main")
     cells = F.sum("n").alias("x_parts"), F.sum(F.when(apart, F.col("n")).otherwise(0)).alias("y_parts")
     parts = rows.groupBy("key").agg(*cells).select("key", *[F.ceil(F.col(c) / HELD).alias(c) for c in ("x_parts", "y_parts")])
-    dealt = spread_lookup(rows, parts, "key", "fp").join(sets, "fp")
+    dealt = spread_lookup(rows, parts, "key", "fp").join(by_shuffle(sets), "fp")
 
     def side(rows: DataFrame, own: str, other: str) -> DataFrame:
         """``rows`` in their own block of one side, once for each block of the other one."""
@@ -246,22 +246,22 @@ def links(nodes: DataFrame, texts: DataFrame, thorough: bool = False) -> DataFra
     prints = stored(nodes.groupBy("bits").agg(F.min("fp").alias("least")), "fingerprints")
     lead = prints.toDF("a_bits", "a"), prints.toDF("b_bits", "b")
     near = simhash.fingerprint_links(prints.select(F.col("bits").alias("fp"))).toDF("a_bits", "b_bits")
-    by_bits = near.join(lead[0], "a_bits").join(lead[1], "b_bits").select("a", "b")
+    by_bits = near.join(by_shuffle(lead[0]), "a_bits").join(by_shuffle(lead[1]), "b_bits").select("a", "b")
     by_bits = stored(by_bits.filter(F.col("a") != F.col("b")), "bits")
     filed = nodes.select("fp", "n", F.posexplode("bands").alias("band", "key"))
     sizes = filed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     met = stored(spread_lookup(filed, sizes, "key", "fp").filter(F.col("size").isNotNull()), "filed")
     weights = met.groupBy("fp").agg(F.sum("size").alias("weight"))
-    met = stored(met.drop("size").join(weights, "fp"), "buckets")
+    met = stored(met.drop("size").join(by_shuffle(weights), "fp"), "buckets")
     stars = _led(met, "fp", "n").filter((F.col("fp") != F.col("lead_fp")) & _may_be("n", "lead_n"))
     stars = stars.select(F.col("lead_fp").alias("a"), F.col("fp").alias("b"))
     members = weights.select("fp").union(by_bits.select("a")).union(by_bits.select("b")).distinct()
-    owners = nodes.join(members, "fp", "left_semi").select("fp", F.col("first.id").alias("own_id"), F.col("first.hash").alias("own_hash"))
-    owned = texts.join(owners, texts["id"].eqNullSafe(owners["own_id"]) & (texts["hash"] == owners["own_hash"])).dropDuplicates(["fp"])
+    owners = nodes.join(by_shuffle(members), "fp", "left_semi").select("fp", F.col("first.id").alias("own_id"), F.col("first.hash").alias("own_hash"))
+    owned = texts.join(by_shuffle(owners), texts["id"].eqNullSafe(owners["own_id"]) & (texts["hash"] == owners["own_hash"])).dropDuplicates(["fp"])
     sets = stored(shingle_sets(owned), "sets")
     found = stored(_similar(stars.union(by_bits), nodes, sets), "similar")
     roots = components(found)
-    marked = met.join(roots, met["fp"] == roots["node"], "left").select("key", "fp", "n", "band", "weight", F.coalesce("root", "fp").alias("root"))
+    marked = met.join(by_shuffle(roots), met["fp"] == roots["node"], "left").select("key", "fp", "n", "band", "weight", F.coalesce("root", "fp").alias("root"))
     open_rows = stored(_mixed(marked), "open")
     open_rows = open_rows.select("key", "fp", "n", "root", "main", "held")
     if thorough:

@@ -152,3 +152,14 @@ def test_fingerprint_joins_do_not_rely_on_the_size_spark_expects(spark, planned)
     planned(simhash.keep_one(docs, max_bits=1, bucket=1))
     assert not [plan for plan in planned.plans if "Broadcast" in plan]
     assert sum("SortMergeJoin" in plan for plan in planned.plans) >= 8
+
+
+def test_joins_of_the_stages_do_not_rely_on_the_size_spark_expects(spark, planned, monkeypatch):
+    docs = frame(spark, [*family(random.Random(4), 50), *family(random.Random(5), 5, edits=2)])
+    planned(line_dedup.remove_repeats(docs))
+    planned(near_copies.keep_one(docs))
+    found = spark.createDataFrame([(3, 1)], "doc_id long, text_hash long")
+    monkeypatch.setattr(decontamination, "overlaps", lambda *args, **how: found)
+    planned(decontamination.remove_contaminated(docs, docs))
+    assert not [plan for plan in planned.plans if "Broadcast" in plan]
+    assert sum("SortMergeJoin" in plan for plan in planned.plans) >= 10
