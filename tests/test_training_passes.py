@@ -159,6 +159,26 @@ def test_nodes_whose_rows_are_all_zero(spark, monkeypatch):
             assert (getattr(m.trees, name) == getattr(models[0].trees, name)).all()
 
 
+def test_packed_rows_are_stored_in_small_row_groups(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(boosting, "TASK_CELLS", 1 << 40)  # one task
+    layout = spark.sparkContext.broadcast(Bins(np.arange(60_001), np.empty(0)))
+    bins = F.transform(F.sequence(F.lit(0), F.lit(1999)), lambda i: F.pmod(F.xxhash64("id", i), F.lit(60_000)).cast("int"))
+    rows = spark.range(0, 10_000, 1, 1).select(
+        F.col("id").alias("row"), F.lit(0).alias("label"), F.lit(False).alias("watch"), bins.alias("bins"), F.lit(1).cast("long").alias("weight"),
+        F.array(F.lit(0.0), F.lit(0.0)).alias("margin"),
+    )
+    packed, path = boosting._spread(*boosting.write_stage(rows, "binned"), 2, layout)
+    files = [pq.ParquetFile(file).metadata for file in glob.glob(f"{path.removeprefix('file:')}/*.parquet")]
+    assert max(f.num_rows for f in files) > 20
+    assert max(f.row_group(k).total_byte_size for f in files for k in range(f.num_row_groups)) < 10 << 20
+    assert packed.agg(F.sum("rows")).first()[0] == 10_000
+    boosting.drop_stage(spark, path)
+
+
 def test_only_the_smaller_child_is_added_up(spark, drawn, monkeypatch):
     x, y = drawn
     data = frame(spark, x, y)
